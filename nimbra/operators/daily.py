@@ -16,12 +16,14 @@ KEYS = ["city_name", "weather_date"]
 
 
 def _lowest_code_by_condition() -> dict[str, Column]:
-    """Lowest code seen of each label that stands for several codes."""
-    shared = [label for label, codes in WEATHER_CONDITIONS if len(codes) > 1]
-    return {
-        label: F.min(F.when(F.col("weather_condition") == label, F.col("weather_code")))
-        for label in [*shared, UNKNOWN_CONDITION]
-    }
+    """Lowest code seen of each label that stands for several codes.
+
+    Tested on the code, which compares faster than the label.
+    """
+    code = F.col("weather_code")
+    tests = {label: code.isin(codes) for label, codes in WEATHER_CONDITIONS if len(codes) > 1}
+    tests[UNKNOWN_CONDITION] = F.col("weather_condition") == UNKNOWN_CONDITION
+    return {label: F.min(F.when(test, code)) for label, test in tests.items()}
 
 
 def _dominant_code() -> Column:

@@ -89,13 +89,11 @@ def rejects(readings: DataFrame) -> DataFrame:
     )
 
 
-def replace_slices(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """``incoming`` in place of the existing rows of its city-days.
+def kept_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Existing rows of the city-days that ``incoming`` does not restate.
 
-    Only the (city, date) pairs of ``incoming`` are replaced; other cities of
-    the same date keep their rows.
+    Silver is replaced per (city, date): other cities of a date keep their rows.
     """
     keys = ["city_name", "observation_date"]
-    return existing.join(incoming.select(keys).distinct(), keys, "left_anti").select(
-        existing.columns
-    ).unionByName(incoming.select(existing.columns))
+    restated = incoming.select(keys).distinct()
+    return existing.join(restated, keys, "left_anti").select(existing.columns)

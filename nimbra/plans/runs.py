@@ -13,7 +13,7 @@ from nimbra.operators import daily as daily_ops
 from nimbra.operators import gates
 from nimbra.operators.daily import to_daily
 from nimbra.operators.events import to_events
-from nimbra.operators.silver import explode_hours, replace_slices, to_silver
+from nimbra.operators.silver import explode_hours, kept_rows, to_silver
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
 from nimbra.scratch import new_folder
 from nimbra.sources.bronze import good_documents, in_date_range, read_bronze
@@ -45,19 +45,27 @@ def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def store_silver(spark: SparkSession, table: SlicedTable, incoming: DataFrame) -> list[str]:
-    """Replace the incoming city-days in Silver; returns the dates touched."""
-    incoming = written(spark, incoming, "silver")
-    dates = table.slices_in(incoming)
-    table.replace(spark, replace_slices(table.read_slices(spark, dates), incoming), dates)
-    return dates
+def store_silver(spark: SparkSession, table: SlicedTable, incoming: DataFrame) -> None:
+    """Replace the incoming city-days in Silver.
+
+    Incoming rows are computed and written once, into the new version; rows of
+    other cities on the same dates are carried over into it before it
+    becomes current.
+    """
+    version = table.stage(spark, incoming)
+    dates = version.slices(spark)
+    existing = table.read_slices(spark, dates)
+    if existing is not None:
+        version.add(kept_rows(existing, version.read(spark)))
+    version.commit(spark, dates)
 
 
 def upsert_daily(spark: SparkSession, table: SlicedTable, source: DataFrame) -> None:
     source = written(spark, source, "daily")
     require_unique(source, daily_ops.KEYS)
     months = table.slices_in(source)
-    table.replace(spark, merge_daily(table.read_slices(spark, months), source), months)
+    target = table.read_slices(spark, months)
+    table.replace(spark, source if target is None else merge_daily(target, source), months)
 
 
 def upsert_events(
@@ -71,7 +79,7 @@ def upsert_events(
     The source has one row per summary row, whose key the daily upsert has
     checked; an event adds its type to that key, so it is unique too.
     """
-    source = written(spark, source, "events")
+    source = written(spark, source.where(F.col("event_type").isNotNull()), "events")
     months = set(table.slices_in(source))
     prune = None
     if prune_range:
@@ -79,7 +87,9 @@ def upsert_events(
         months |= set(table.slices_in(table.read(spark, start, end)))
         prune = F.col("event_date").between(F.lit(start), F.lit(end))
     months = sorted(months)
-    table.replace(spark, merge_events(table.read_slices(spark, months), source, prune), months)
+    target = table.read_slices(spark, months)
+    rows = source if target is None else merge_events(target, source, prune)
+    table.replace(spark, rows, months)
 
 
 def run_silver(

@@ -15,8 +15,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # City-days per map task before the daily aggregate starts sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "50000",
 }
 
 

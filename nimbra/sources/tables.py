@@ -45,8 +45,8 @@ class SlicedTable:
                 return None
             raise
 
-    def _current(self, spark: SparkSession, keep: Column) -> DataFrame:
-        """Rows of the current versions of the slices that ``keep`` selects.
+    def _current(self, spark: SparkSession, keep: Column) -> DataFrame | None:
+        """Rows of the current versions of the slices that ``keep`` selects, if any.
 
         The driver sees one line per slice (a day or a month), never rows.
         """
@@ -62,7 +62,7 @@ class SlicedTable:
             .collect()
         )
         if not current:
-            return spark.createDataFrame([], self.schema)
+            return None
         return spark.read.schema(self.schema).parquet(
             *[f"{self.root}/data/version={r.version}/{SLICE}={r.slice}" for r in current]
         )
@@ -78,42 +78,80 @@ class SlicedTable:
         if end:
             slices_of &= F.col(SLICE) <= self.slice_of(F.lit(end))
             rows_of &= F.col(self.date_column) <= F.lit(end)
-        return self._current(spark, slices_of).where(rows_of)
+        rows = self._current(spark, slices_of)
+        return spark.createDataFrame([], self.schema) if rows is None else rows.where(rows_of)
 
-    def read_slices(self, spark: SparkSession, slices: list[str]) -> DataFrame:
-        """Current rows of ``slices``, whole."""
+    def read_slices(self, spark: SparkSession, slices: list[str]) -> DataFrame | None:
+        """Current rows of ``slices``, whole; None where the table has none of them."""
         return self._current(spark, F.col(SLICE).isin(slices))
 
+    def stage(self, spark: SparkSession, rows: DataFrame) -> Version:
+        """Write ``rows`` to a new version, which no reader sees before its commit."""
+        version = Version(self, uuid.uuid4().hex)
+        version.add(rows)
+        return version
+
     def replace(self, spark: SparkSession, rows: DataFrame, slices: list[str]) -> None:
         """Make ``rows`` the whole content of ``slices``; other slices stay."""
-        if not slices:
-            return
-        version = uuid.uuid4().hex
-        target = f"{self.root}/data/version={version}"
+        if slices:
+            self.stage(spark, rows).commit(spark, slices)
+
+    def slices_in(self, rows: DataFrame) -> list[str]:
+        """Slices that ``rows`` touch: at most one per calendar day or month."""
+        found = rows.select(self.slice_of(F.col(self.date_column)).alias(SLICE)).distinct()
+        return sorted(r[SLICE] for r in found.where(F.col(SLICE).isNotNull()).collect())
+
+
+@dataclass(frozen=True)
+class Version:
+    """A version folder of a table, before or after it is made current."""
+
+    table: SlicedTable
+    name: str
+
+    @property
+    def folder(self) -> str:
+        return f"{self.table.root}/data/version={self.name}"
+
+    def add(self, rows: DataFrame) -> None:
+        """Append rows, one set of files per slice.
+
+        The rebalance merges small slices and splits large ones over tasks.
+        """
+        table = self.table
         sliced = rows.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields],
-            self.slice_of(F.col(self.date_column)).alias(SLICE),
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields],
+            table.slice_of(F.col(table.date_column)).alias(SLICE),
         )
         (
             sliced.hint("rebalance", SLICE)
-            .sortWithinPartitions(SLICE, *self.order)
-            .write.partitionBy(SLICE)
-            .parquet(target)
+            .sortWithinPartitions(SLICE, *table.order)
+            .write.mode("append")
+            .partitionBy(SLICE)
+            .parquet(self.folder)
         )
-        written = spark.read.schema(f"{SLICE} string").parquet(target)
-        filled = {r[SLICE] for r in written.distinct().collect()}
-        log = self._log(spark)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(self.table.schema).parquet(self.folder)
+
+    def slices(self, spark: SparkSession) -> list[str]:
+        """Slices that hold rows, from the folder names and file footers alone."""
+        found = spark.read.schema(struct(slice="string")).parquet(self.folder).distinct()
+        return sorted(r[SLICE] for r in found.collect())
+
+    def commit(self, spark: SparkSession, slices: list[str]) -> None:
+        """Make this version the current one of ``slices``, all at once.
+
+        A slice without rows in it becomes empty. One writer at a time.
+        """
+        filled = set(self.slices(spark))
+        log = self.table._log(spark)
         last = 0 if log is None else log.agg(F.max("sequence")).first()[0] or 0
-        entries = [(last + 1, s, version, s in filled) for s in sorted({*slices, *filled})]
+        entries = [(last + 1, s, self.name, s in filled) for s in sorted({*slices, *filled})]
         spark.createDataFrame(entries, _LOG).coalesce(1).write.mode("append").json(
-            f"{self.root}/log"
+            f"{self.table.root}/log"
         )
 
-    def slices_in(self, rows: DataFrame) -> list[str]:
-        """Slices that ``rows`` touch: at most one per calendar day or month."""
-        found = rows.select(self.slice_of(F.col(self.date_column)).alias(SLICE)).distinct()
-        return sorted(r[SLICE] for r in found.where(F.col(SLICE).isNotNull()).collect())
-
 
 def silver_table(root: str) -> SlicedTable:
     """One slice per observation date."""
