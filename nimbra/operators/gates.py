@@ -38,7 +38,7 @@ def date_grid(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 
 
 def city_coverage(cities: DataFrame, documents: DataFrame) -> DataFrame:
-    """Documents per expected city: FAIL where there is none."""
+    """Documents (or their files) per expected city: FAIL where there is none."""
     loaded = documents.groupBy("city").agg(F.count("*").alias("loaded"))
     return _coverage(cities.select(F.col("name").alias("city")), loaded, ["city"])
 

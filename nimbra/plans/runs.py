@@ -16,7 +16,12 @@ from nimbra.operators.events import to_events
 from nimbra.operators.silver import explode_hours, kept_rows, to_silver
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
 from nimbra.scratch import new_folder
-from nimbra.sources.bronze import good_documents, in_date_range, read_bronze
+from nimbra.sources.bronze import (
+    good_documents,
+    in_date_range,
+    landed_files,
+    read_bronze,
+)
 from nimbra.sources.tables import (
     SlicedTable,
     gold_daily_table,
@@ -130,16 +135,18 @@ def run_range(
 ) -> DataFrame:
     """Bronze to Gold for every city and date of the range, in one set of jobs.
 
-    Fails when a city or (unless told otherwise) a city-date has no document or
-    a date has no Gold row; returns the status of each date.
+    Fails when a city-date (a city, without ``require_coverage``) has no document
+    or a date has no Gold row; returns the status of each date.
     """
     documents = good_documents(read_bronze(spark, bronze_root, multi_line=multi_line)).where(
         in_date_range(start, end)
     )
-    gates.require_no_failure(gates.city_coverage(cities, documents), "cities without documents")
+    files = landed_files(spark, bronze_root).where(in_date_range(start, end))
     if require_coverage:
-        coverage = gates.city_date_coverage(cities, documents, start, end)
-        gates.require_no_failure(coverage, "missing documents")
+        coverage = gates.city_date_coverage(cities, files, start, end)
+    else:
+        coverage = gates.city_coverage(cities, files)
+    gates.require_no_failure(coverage, "missing documents")
     run_silver(spark, lake, documents)
     run_gold(spark, lake, start, end, as_of, prune_stale)
     status = gates.gold_daily_status(

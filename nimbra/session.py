@@ -15,8 +15,15 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM never compiles a method of over 8000 bytes; a wide projection that
+    # would become one is split into functions below this limit instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Fixed when a session starts. Call-site capture costs several JVM round trips
+# per column expression.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session the caller owns."""
@@ -29,6 +36,6 @@ def build_session(app: str = "nimbra", master: str | None = None, **extra: str)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_SETTINGS, **extra}.items():
+    for key, value in {**RUNTIME_SETTINGS, **STATIC_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -53,6 +53,16 @@ def malformed_documents(bronze: DataFrame) -> DataFrame:
     )
 
 
+def landed_files(spark: SparkSession, root: str) -> DataFrame:
+    """Non-empty files with their partition keys; their content is not read.
+
+    Keys are taken as text, which needs partition type inference switched off.
+    """
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    files = spark.read.format("binaryFile").load(root)
+    return files.where(F.col("length") > 0).select(*BRONZE_PARTITIONS, "path", "length")
+
+
 def partition_text(date: Column) -> dict[str, Column]:
     """Zero-padded year, month and day of a date."""
     return {

@@ -115,7 +115,9 @@ def hourly_readings(spark: SparkSession, sf_dir: str, table: str = "events") ->
         "lineitem": (_lineitem, _LINEITEM_ORDER),
     }[table]
     rows = bind(spark, sf_dir)
-    series = Window.partitionBy("ci", "d").orderBy(*order)
+    # One number per city-day: the sort's first key then settles most comparisons.
+    rows = rows.withColumn("series", F.unix_date("d") * len(CITIES) + F.col("ci"))
+    series = Window.partitionBy("series").orderBy(*order)
     numbered = rows.withColumn("hour_index", F.row_number().over(series)).where(
         F.col("hour_index") <= HOURS_PER_DAY
     )
@@ -131,6 +133,6 @@ def document_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _events(spark, sf_dir).withColumn(
         "document", F.floor(F.col("event_id") / DOCUMENT_SPAN)
     )
-    within = Window.partitionBy("ci", "d", "document").orderBy(*_EVENTS_ORDER)
+    within = Window.partitionBy("document", "ci", "d").orderBy(*_EVENTS_ORDER)
     numbered = rows.withColumn("hour_index", F.row_number().over(within))
     return _as_readings(spark, numbered, "document", "hour_index")
