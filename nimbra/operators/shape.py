@@ -13,9 +13,9 @@ SERIES = ["time", *HOURLY_VARIABLES]
 
 def require_hourly(responses: DataFrame) -> DataFrame:
     """Fail the job on a response without its hourly block."""
+    city = F.coalesce(*[c for c in ("city", "city_name") if c in responses.columns], F.lit("?"))
     present = F.assert_true(
-        F.col("hourly").isNotNull(),
-        F.concat(F.lit("no hourly data returned for "), F.coalesce("city_name", F.lit("?"))),
+        F.col("hourly").isNotNull(), F.concat(F.lit("no hourly data returned for "), city)
     )
     return responses.where(present.isNull())
 

@@ -89,11 +89,19 @@ def rejects(readings: DataFrame) -> DataFrame:
     )
 
 
+CITY_DAY = ["city_name", "observation_date"]
+
+
+def kept_city_days(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """City-days that exist and that ``incoming`` does not restate."""
+    old, new = (rows.select(CITY_DAY).distinct() for rows in (existing, incoming))
+    return old.join(new, CITY_DAY, "left_anti")
+
+
 def kept_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing rows of the city-days that ``incoming`` does not restate.
 
     Silver is replaced per (city, date): other cities of a date keep their rows.
     """
-    keys = ["city_name", "observation_date"]
-    restated = incoming.select(keys).distinct()
-    return existing.join(restated, keys, "left_anti").select(existing.columns)
+    restated = incoming.select(CITY_DAY).distinct()
+    return existing.join(restated, CITY_DAY, "left_anti").select(existing.columns)

@@ -5,22 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbra.fixed_values import BACKFILL_DAYS
 from nimbra.operators import daily as daily_ops
-from nimbra.operators import gates
+from nimbra.operators import gates, shape
 from nimbra.operators.daily import to_daily
 from nimbra.operators.events import to_events
-from nimbra.operators.silver import explode_hours, kept_rows, to_silver
+from nimbra.operators.silver import explode_hours, kept_city_days, kept_rows, to_silver
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
 from nimbra.scratch import new_folder
 from nimbra.sources.bronze import (
     good_documents,
-    in_date_range,
     landed_files,
     read_bronze,
+    write_bronze,
 )
 from nimbra.sources.tables import (
     SlicedTable,
@@ -43,6 +43,32 @@ class Lakehouse:
         return Lakehouse(silver_table(root), gold_daily_table(root), gold_events_table(root))
 
 
+    def create_views(self, spark: SparkSession) -> None:
+        """Current tables as temporary views for SQL users."""
+        self.silver.read(spark).createOrReplaceTempView("silver_hourly")
+        self.daily.read(spark).createOrReplaceTempView("gold_daily_summary")
+        self.events.read(spark).createOrReplaceTempView("gold_extreme_events")
+
+
+def land_history(
+    responses: DataFrame, cities: DataFrame, bronze_root: str, ingested_at: Column
+) -> None:
+    """Land multi-day responses, with their ``city``, as one document per date."""
+    whole = shape.attach_metadata(shape.require_hourly(responses), cities, ingested_at)
+    write_bronze(shape.split_daily(whole), bronze_root)
+
+
+def land_day(
+    responses: DataFrame, cities: DataFrame, bronze_root: str, run_date: dt.date,
+    ingested_at: Column,
+) -> DataFrame:
+    """Land the hours of one local date; returns documents without a full day of them."""
+    whole = shape.attach_metadata(shape.require_hourly(responses), cities, ingested_at)
+    day = shape.keep_date(whole, F.lit(str(run_date)))
+    write_bronze(day, bronze_root)
+    return shape.hour_count_off(day)
+
+
 def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """``rows`` from a table in the shared folder, computed once."""
     folder = new_folder(spark, label)
@@ -55,13 +81,16 @@ def store_silver(spark: SparkSession, table: SlicedTable, incoming: DataFrame) -
 
     Incoming rows are computed and written once, into the new version; rows of
     other cities on the same dates are carried over into it before it
-    becomes current.
+    becomes current. A run that restates every city, found out from the two key
+    columns, reads nothing else of the old rows.
     """
     version = table.stage(spark, incoming)
     dates = version.slices(spark)
     existing = table.read_slices(spark, dates)
     if existing is not None:
-        version.add(kept_rows(existing, version.read(spark)))
+        staged = version.read(spark)
+        if not kept_city_days(existing, staged).isEmpty():
+            version.add(kept_rows(existing, staged))
     version.commit(spark, dates)
 
 
@@ -138,10 +167,8 @@ def run_range(
     Fails when a city-date (a city, without ``require_coverage``) has no document
     or a date has no Gold row; returns the status of each date.
     """
-    documents = good_documents(read_bronze(spark, bronze_root, multi_line=multi_line)).where(
-        in_date_range(start, end)
-    )
-    files = landed_files(spark, bronze_root).where(in_date_range(start, end))
+    documents = good_documents(read_bronze(spark, bronze_root, start, end, multi_line=multi_line))
+    files = landed_files(spark, bronze_root, start, end)
     if require_coverage:
         coverage = gates.city_date_coverage(cities, files, start, end)
     else:

@@ -4,33 +4,76 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from nimbra.schemas import BRONZE, BRONZE_PARTITIONS, CORRUPT_COLUMN, bronze_read_schema
 
 
+# Longest ranges, in days, whose folders are named day by day or month by month.
+DAY_FOLDERS = 62
+MONTH_FOLDERS = 1100
+
+
+def _folders(root: str, start: dt.date, end: dt.date) -> str:
+    """Glob over the date folders of a range, so that no other folder is listed.
+
+    Named by day, month or year, whichever keeps the pattern short; the
+    partition filter of the range does the rest.
+    """
+    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+    if len(days) <= DAY_FOLDERS:
+        names = [f"year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+    elif len(days) <= MONTH_FOLDERS:
+        names = [f"year={d:%Y}/month={d:%m}" for d in days]
+    else:
+        names = [f"year={d:%Y}" for d in days]
+    return f"{root}/city=*/{{{','.join(sorted(set(names)))}}}"
+
+
+def _load(reader: DataFrameReader, root: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    if start is None or end is None:
+        return reader.load(root)
+    found = reader.option("basePath", root).load(_folders(root, start, end))
+    return found.where(in_date_range(start, end))
+
+
+def _none_found(problem: AnalysisException) -> bool:
+    return problem.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
     *,
     multi_line: bool = False,
     variables: list[str] | None = None,
 ) -> DataFrame:
-    """Documents under ``root``; partition values stay zero-padded text.
+    """Documents under ``root``, of the dates from ``start`` to ``end`` if given.
 
-    ``multi_line`` reads pretty-printed landings, one document per file. Our
-    own writer emits a document per line, which Spark can split. Malformed
-    documents do not fail the read, they carry their text in the corrupt column.
+    Partition values stay zero-padded text. ``multi_line`` reads pretty-printed
+    landings, one document per file. Our own writer emits a document per line,
+    which Spark can split. Malformed documents do not fail the read, they carry
+    their text in the corrupt column.
     """
-    return (
-        spark.read.schema(bronze_read_schema(variables))
+    schema = bronze_read_schema(variables)
+    reader = (
+        spark.read.format("json")
+        .schema(schema)
         .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("allowNonNumericNumbers", False)
-        .json(root)
     )
+    try:
+        return _load(reader, root, start, end)
+    except AnalysisException as problem:
+        if start and _none_found(problem):
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def _is_document() -> Column:
@@ -53,13 +96,21 @@ def malformed_documents(bronze: DataFrame) -> DataFrame:
     )
 
 
-def landed_files(spark: SparkSession, root: str) -> DataFrame:
+def landed_files(
+    spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame:
     """Non-empty files with their partition keys; their content is not read.
 
     Keys are taken as text, which needs partition type inference switched off.
     """
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    files = spark.read.format("binaryFile").load(root)
+    try:
+        files = _load(spark.read.format("binaryFile"), root, start, end)
+    except AnalysisException as problem:
+        if start and _none_found(problem):
+            keys = ", ".join(f"{k} string" for k in BRONZE_PARTITIONS)
+            return spark.createDataFrame([], f"{keys}, path string, length bigint")
+        raise
     return files.where(F.col("length") > 0).select(*BRONZE_PARTITIONS, "path", "length")
 
 

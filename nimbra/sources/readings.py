@@ -81,22 +81,26 @@ def _measures() -> list[Column]:
     ]
 
 
-def _as_readings(spark: SparkSession, numbered: DataFrame, *carried: str) -> DataFrame:
-    names = [c["name"] for c in CITIES]
+def _with_city(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    names = F.array(*[F.lit(c["name"]) for c in CITIES])
     cities = configured_cities(spark).select(
-        F.array_position(F.array(*[F.lit(n) for n in names]), F.col("name")).cast("int").alias("at"),
+        F.array_position(names, F.col("name")).cast("int").alias("at"),
         F.col("name").alias("city_name"),
         F.col("display_name").alias("city_display_name"),
         "country", "latitude", "longitude", "timezone",
     )
-    hour = (F.col("hour_index") - 1) % HOURS_PER_DAY
-    return numbered.join(cities, F.col("ci") + 1 == F.col("at")).select(
+    return rows.join(cities, F.col("ci") + 1 == F.col("at")).withColumn(
+        "pipeline_run_date", F.col("d").cast("string")
+    )
+
+
+def _as_readings(numbered: DataFrame, *carried: str) -> DataFrame:
+    hour = F.lpad(((F.col("hour_index") - 1) % HOURS_PER_DAY).cast("string"), 2, "0")
+    return numbered.select(
         "city_name", "city_display_name", "country", "latitude", "longitude", "timezone",
         F.concat(F.date_add("d", 1).cast("string"), F.lit("T00:05:00")).alias("ingestion_timestamp"),
-        F.col("d").cast("string").alias("pipeline_run_date"),
-        F.concat(
-            F.col("d").cast("string"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"), F.lit(":00")
-        ).alias("raw_timestamp"),
+        "pipeline_run_date",
+        F.concat("pipeline_run_date", F.lit("T"), hour, F.lit(":00")).alias("raw_timestamp"),
         *_measures(),
         *carried,
     )
@@ -114,25 +118,25 @@ def hourly_readings(spark: SparkSession, sf_dir: str, table: str = "events") ->
         "events": (_events, _EVENTS_ORDER),
         "lineitem": (_lineitem, _LINEITEM_ORDER),
     }[table]
-    rows = bind(spark, sf_dir)
     # One number per city-day: the sort's first key then settles most comparisons.
-    rows = rows.withColumn("series", F.unix_date("d") * len(CITIES) + F.col("ci"))
+    rows = bind(spark, sf_dir).withColumn("series", F.unix_date("d") * len(CITIES) + F.col("ci"))
     series = Window.partitionBy("series").orderBy(*order)
     numbered = rows.withColumn("hour_index", F.row_number().over(series)).where(
         F.col("hour_index") <= HOURS_PER_DAY
     )
-    return _as_readings(spark, numbered)
+    return _as_readings(_with_city(spark, numbered))
 
 
 def document_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a reading of a document, with ``document`` and ``hour_index``.
 
     The rows of a city-day are spread over documents of bounded size, so
-    neither the numbering nor the collecting ever holds a whole city-day.
+    neither the numbering nor the collecting ever holds a whole city-day. Both
+    use the same keys, hence one shuffle.
     """
-    rows = _events(spark, sf_dir).withColumn(
+    rows = _with_city(spark, _events(spark, sf_dir)).withColumn(
         "document", F.floor(F.col("event_id") / DOCUMENT_SPAN)
     )
-    within = Window.partitionBy("document", "ci", "d").orderBy(*_EVENTS_ORDER)
+    within = Window.partitionBy("document", "city_name", "pipeline_run_date").orderBy(*_EVENTS_ORDER)
     numbered = rows.withColumn("hour_index", F.row_number().over(within))
-    return _as_readings(spark, numbered, "document", "hour_index")
+    return _as_readings(numbered, "document", "hour_index")

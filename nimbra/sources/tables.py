@@ -13,10 +13,10 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from nimbra.schemas import GOLD_DAILY, GOLD_EVENTS, SILVER, struct
 
@@ -161,16 +161,20 @@ def silver_table(root: str) -> SlicedTable:
     )
 
 
-def gold_daily_table(root: str) -> SlicedTable:
-    """One slice per month, so an upsert rewrites the months it touches."""
+def gold_daily_table(root: str, slice_format: str = "yyyy-MM") -> SlicedTable:
+    """One slice per month, so an upsert rewrites the months it touches.
+
+    With very many cities a slice per day (``yyyy-MM-dd``) keeps a daily run
+    from rewriting the month; the choice is for the life of the table.
+    """
     return SlicedTable(
-        f"{root}/gold_daily_summary", GOLD_DAILY, "weather_date", "yyyy-MM",
+        f"{root}/gold_daily_summary", GOLD_DAILY, "weather_date", slice_format,
         ("weather_date", "city_name"),
     )
 
 
-def gold_events_table(root: str) -> SlicedTable:
+def gold_events_table(root: str, slice_format: str = "yyyy-MM") -> SlicedTable:
     return SlicedTable(
-        f"{root}/gold_extreme_events", GOLD_EVENTS, "event_date", "yyyy-MM",
+        f"{root}/gold_extreme_events", GOLD_EVENTS, "event_date", slice_format,
         ("event_date", "city_name"),
     )

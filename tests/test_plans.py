@@ -50,6 +50,7 @@ def test_no_numbering_over_a_whole_city_day(spark):
     plan = plan_of(documents_of(spark, SF_DIR))
     window = plan[plan.index("windowspecdefinition("):].split(", specifiedwindowframe")[0]
     assert "document" in window
+    assert plan.count("Exchange hashpartitioning") == 1
 
 
 def test_report_filters_reach_the_stored_table(spark, tmp_path):

@@ -6,11 +6,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from nimbra.operators import gates
-from nimbra.plans.runs import Lakehouse, run_backfill, run_daily, run_range
+from nimbra.plans.runs import (
+    Lakehouse,
+    land_day,
+    land_history,
+    run_backfill,
+    run_daily,
+    run_range,
+)
+from nimbra.sources.bronze import good_documents, landed_files, read_bronze
 from nimbra.scratch import new_folder
 from nimbra.sources.cities import configured_cities
 from nimbra.streaming.ingest import stream_daily
-from tests.helpers import DAY, daily, document, land, rows, silver, silver_row
+from tests.helpers import DAY, daily, document, frame_of, land, rows, silver, silver_row
 
 CITIES = ["mumbai", "delhi", "bangalore", "london", "new_york", "tokyo"]
 DAYS = [DAY + dt.timedelta(days=i) for i in range(3)]
@@ -160,3 +168,46 @@ def test_stream_in_batches_equals_the_batch_run(spark, tmp_path):
     land(tmp_path / "bronze", document(city="tokyo", start=DAYS[1]), city="tokyo", day=DAYS[1])
     drain()
     assert lake.daily.read(spark).count() == 7
+
+
+def test_landing_of_responses_to_gold(spark, tmp_path):
+    """Three days of history, then one more day out of a 48-hour response."""
+    cities = configured_cities(spark)
+    bare = ["city_name", "city_display_name", "country"]
+
+    def responses(start, hours):
+        frame = frame_of(spark, *[document(city=c, start=start, hours=hours) for c in CITIES])
+        return frame.withColumn("city", F.col("city_name")).drop(*bare)
+
+    root, lake = str(tmp_path / "bronze"), Lakehouse.at(str(tmp_path / "lake"))
+    stamp = F.lit("2024-01-13T06:00:00")
+    land_history(responses(DAY, 72), cities, root, stamp)
+    run_backfill(spark, root, lake, cities, DAY + dt.timedelta(days=3), 3)
+    next_day = DAY + dt.timedelta(days=3)
+    assert land_day(responses(next_day, 48), cities, root, next_day, stamp).count() == 0
+    short = land_day(responses(next_day, 20), cities, str(tmp_path / "other"), next_day, stamp)
+    assert {r["hours"] for r in short.collect()} == {20}
+    status = run_daily(spark, root, lake, cities, next_day + dt.timedelta(days=1)).first()
+    assert (status["row_count"], status["status"]) == (6, "OK")
+    assert lake.daily.read(spark).count() == 24
+    lake.create_views(spark)
+    per_city = spark.sql(
+        "SELECT city_display_name, COUNT(*) AS days FROM gold_daily_summary GROUP BY ALL"
+    )
+    assert {(r[0], r[1]) for r in per_city.collect()} >= {("Tokyo", 4), ("Mumbai", 4)}
+    assert spark.table("silver_hourly").count() == 24 * 24
+
+
+def test_only_the_folders_of_the_range_are_listed(spark, tmp_path):
+    spread = [DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=70), dt.date(2031, 5, 6)]
+    for day in spread:
+        land(tmp_path, document(start=day, hours=2), day=day)
+    land(tmp_path, "", city="delhi")  # an empty file is no document
+    for last, count in ((DAY, 1), (spread[1], 2), (spread[2], 3), (spread[3], 4)):
+        assert good_documents(read_bronze(spark, str(tmp_path), DAY, last)).count() == count
+        assert landed_files(spark, str(tmp_path), DAY, last).count() == count
+    one = read_bronze(spark, str(tmp_path), DAY, DAY)
+    assert len(one.inputFiles()) == 2 and one.first()["month"] == "01"
+    nothing = dt.date(2020, 1, 1)
+    assert read_bronze(spark, str(tmp_path), nothing, nothing).count() == 0
+    assert landed_files(spark, str(tmp_path), nothing, nothing).count() == 0
