@@ -30,7 +30,8 @@ def temp_trend(daily: DataFrame, as_of: dt.date, calendar: bool = False) -> Data
         "max_temperature", "min_temperature", "temperature_range", "comfort_score",
         "dominant_condition",
     )
-    ranked = rank_descending(recent, "avg_temperature", "heat_rank_that_day", ["weather_date"], 1.0)
+    # A mean has two decimals, so a date has some thousands of distinct ones at most.
+    ranked = rank_descending(recent, "avg_temperature", "heat_rank_that_day", ["weather_date"])
     city = Window.partitionBy("city_name").orderBy("weather_date")
     if calendar:
         day = Window.partitionBy("city_name").orderBy(F.unix_date("weather_date"))

@@ -24,7 +24,7 @@ def test_rank_equals_the_window_rank(spark):
     frame = spark.createDataFrame(
         [(random.choice("ab"), v, i) for i, v in enumerate(values)], "k string, v double, i int"
     )
-    for within, width in ((["k"], 1.0), ([], 10.0), (["k"], 1000.0), ([], 0.01)):
+    for within, width in ((["k"], 1.0), ([], 10.0), (["k"], 1000.0), ([], 0.01), (["k"], None), ([], None)):
         window = Window.partitionBy(*within).orderBy(F.col("v").desc_nulls_last())
         expected = frame.withColumn("place", F.rank().over(window))
         assert rows(rank_descending(frame, "v", "place", within, width)) == rows(expected)
