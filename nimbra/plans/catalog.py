@@ -545,18 +545,15 @@ def gold_event_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-MULTILABEL_TESTS = {
-    "EXTREME_HEAT": "max_temperature > 42", "EXTREME_COLD": "min_temperature < 0",
-    "HEAVY_RAIN": "total_precipitation > 50", "STRONG_WIND": "max_wind_speed > 60",
-    "HIGH_UV": "max_uv_index > 8", "THUNDERSTORM": "dominant_weather_code IN (95,96,99)",
-}
-
-
-@query(EVENTS + " " + " UNION ALL ".join(
-    f"""SELECT x.city_name, x.event_date, '{name}' AS event_type, x.severity
-FROM x JOIN g ON x.city_name = g.city_name AND x.event_date = g.weather_date
-WHERE {test.replace("dominant_weather", "g.dominant_weather").replace("max_", "g.max_").replace("min_", "g.min_").replace("total_", "g.total_")}"""
-    for name, test in MULTILABEL_TESTS.items()))
+MULTILABEL = " UNION ALL ".join(
+    f"SELECT city_name, weather_date AS event_date, '{name}' AS event_type FROM g WHERE {test}"
+    for name, test in sql.EVENT_TESTS.items()
+)
+
+
+@query(f"""{EVENTS}, m AS ({MULTILABEL})
+SELECT m.city_name, m.event_date, m.event_type, x.severity
+FROM m JOIN x ON m.city_name = x.city_name AND m.event_date = x.event_date""")
 def gold_events_multilabel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_events_multilabel(daily_of(spark, sf_dir), AS_OF).select(
         "city_name", "event_date", "event_type", "severity"

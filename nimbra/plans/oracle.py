@@ -6,6 +6,8 @@ rounding, explicit order for ties.
 
 from __future__ import annotations
 
+from nimbra import fixed_values as V
+
 CITIES = """(VALUES
  (0,'mumbai','Mumbai','India',19.0760E0,72.8777E0,'Asia/Kolkata',330),
  (1,'delhi','Delhi','India',28.6139E0,77.2090E0,'Asia/Kolkata',330),
@@ -40,6 +42,38 @@ EVENT_VALUES = [
     "max_wind_speed", "max_uv_index", "dominant_condition",
 ]
 
+CONDITION = (
+    "CASE "
+    + " ".join(
+        f"WHEN weather_code IN ({', '.join(map(str, codes))}) THEN '{label}'"
+        for label, codes in V.WEATHER_CONDITIONS
+    )
+    + f" ELSE '{V.UNKNOWN_CONDITION}' END"
+)
+FLAG = (
+    f"CASE WHEN {' OR '.join(f'{c} IS NULL' for c in V.PLAUSIBLE)} THEN 'BAD' WHEN "
+    + " OR ".join(f"{c} NOT BETWEEN {low} AND {high}" for c, (low, high) in V.PLAUSIBLE.items())
+    + " THEN 'SUSPECT' ELSE 'GOOD' END"
+)
+EVENT_TESTS = {
+    "EXTREME_HEAT": f"max_temperature > {V.HEAT_ABOVE}",
+    "EXTREME_COLD": f"min_temperature < {V.COLD_BELOW}",
+    "HEAVY_RAIN": f"total_precipitation > {V.RAIN_ABOVE}",
+    "STRONG_WIND": f"max_wind_speed > {V.WIND_ABOVE}",
+    "HIGH_UV": f"max_uv_index > {V.UV_ABOVE}",
+    "THUNDERSTORM": f"dominant_weather_code IN ({', '.join(map(str, V.STORM_CODES))})",
+}
+EVENT_TYPE = "CASE " + " ".join(f"WHEN {t} THEN '{n}'" for n, t in EVENT_TESTS.items()) + " END"
+SEVERITY = (
+    "CASE "
+    + " ".join(
+        f"WHEN GREATEST(max_temperature - {heat}, total_precipitation - {rain}, "
+        f"max_wind_speed - {wind}) > 0 THEN '{level}'"
+        for level, heat, rain, wind, _ in V.SEVERITIES
+    )
+    + f" ELSE '{V.LOWEST_SEVERITY[0]}' END"
+)
+
 
 def rounded(x: str, digits: int) -> str:
     scale = 10**digits
@@ -100,18 +134,9 @@ def silver(name: str = "s", source: str = "r") -> str:
   CAST(CAST(raw_timestamp AS TIMESTAMP) AS DATE) AS observation_date,
   CAST(EXTRACT(HOUR FROM CAST(raw_timestamp AS TIMESTAMP)) AS INT) AS observation_hour,
   timezone, {MEASURES},
-  CASE WHEN weather_code = 0 THEN 'Clear sky' WHEN weather_code = 1 THEN 'Mainly clear'
-    WHEN weather_code = 2 THEN 'Partly cloudy' WHEN weather_code = 3 THEN 'Overcast'
-    WHEN weather_code IN (45,48) THEN 'Fog' WHEN weather_code IN (51,53,55) THEN 'Drizzle'
-    WHEN weather_code IN (61,63,65) THEN 'Rain' WHEN weather_code IN (71,73,75) THEN 'Snow'
-    WHEN weather_code = 77 THEN 'Snow grains' WHEN weather_code IN (80,81,82) THEN 'Rain showers'
-    WHEN weather_code IN (85,86) THEN 'Snow showers' WHEN weather_code = 95 THEN 'Thunderstorm'
-    WHEN weather_code IN (96,99) THEN 'Thunderstorm with hail' ELSE 'Unknown' END AS weather_condition,
+  {CONDITION} AS weather_condition,
   CAST(ingestion_text AS TIMESTAMP) AS ingestion_timestamp, d AS pipeline_run_date,
-  CASE WHEN temperature_2m IS NULL OR relative_humidity_2m IS NULL OR wind_speed_10m IS NULL THEN 'BAD'
-    WHEN temperature_2m < -60 OR temperature_2m > 60 OR relative_humidity_2m < 0
-      OR relative_humidity_2m > 100 OR wind_speed_10m < 0 OR wind_speed_10m > 300 THEN 'SUSPECT'
-    ELSE 'GOOD' END AS data_quality_flag,
+  {FLAG} AS data_quality_flag,
   hour_index, document, utc_minutes
   FROM {source} WHERE hour_index <= 24),
 {name} AS (SELECT * FROM f{name} WHERE data_quality_flag <> 'BAD')"""
@@ -152,17 +177,10 @@ def gold(name: str = "g", source: str = "s", as_of: str = "2024-02-01") -> str:
 
 def events(name: str = "x", source: str = "g", as_of: str = "2024-02-01") -> str:
     return f""", {name} AS (SELECT city_name, city_display_name, country, weather_date AS event_date,
-  CASE WHEN max_temperature > 42 THEN 'EXTREME_HEAT' WHEN min_temperature < 0 THEN 'EXTREME_COLD'
-    WHEN total_precipitation > 50 THEN 'HEAVY_RAIN' WHEN max_wind_speed > 60 THEN 'STRONG_WIND'
-    WHEN max_uv_index > 8 THEN 'HIGH_UV' WHEN dominant_weather_code IN (95,96,99) THEN 'THUNDERSTORM'
-    END AS event_type,
-  CASE WHEN max_temperature > 48 OR total_precipitation > 100 OR max_wind_speed > 120 THEN 'CRITICAL'
-    WHEN max_temperature > 45 OR total_precipitation > 75 OR max_wind_speed > 90 THEN 'WARNING'
-    ELSE 'WATCH' END AS severity,
+  {EVENT_TYPE} AS event_type, {SEVERITY} AS severity,
   max_temperature, min_temperature, total_precipitation, max_wind_speed, max_uv_index,
   dominant_condition, DATE '{as_of}' AS detected_on, weather_date AS pipeline_run_date
-  FROM {source} WHERE max_temperature > 42 OR min_temperature < 0 OR total_precipitation > 50
-    OR max_wind_speed > 60 OR max_uv_index > 8 OR dominant_weather_code IN (95,96,99))"""
+  FROM {source} WHERE {" OR ".join(EVENT_TESTS.values())})"""
 
 
 def merged_daily(target: str, source: str) -> str:
@@ -218,11 +236,13 @@ FROM (SELECT city_name, city_display_name, country, {total("total_precipitation"
 
 
 def extreme_summary(as_of: str) -> str:
-    types = {"heat": "EXTREME_HEAT", "cold": "EXTREME_COLD", "heavy_rain": "HEAVY_RAIN",
-             "strong_wind": "STRONG_WIND", "high_uv": "HIGH_UV", "thunderstorm": "THUNDERSTORM"}
-    by_type = ", ".join(f"COUNT(CASE WHEN event_type='{t}' THEN 1 END) AS {n}_events" for n, t in types.items())
-    by_level = ", ".join(f"COUNT(CASE WHEN severity='{s}' THEN 1 END) AS {s.lower()}_events"
-                         for s in ("CRITICAL", "WARNING", "WATCH"))
+    by_type = ", ".join(
+        f"COUNT(*) FILTER (event_type = '{t}') AS {t.lower().removeprefix('extreme_')}_events"
+        for t in EVENT_TESTS
+    )
+    weights = {**{level: w for level, *_, w in V.SEVERITIES}, V.LOWEST_SEVERITY[0]: V.LOWEST_SEVERITY[1]}
+    by_level = ", ".join(f"COUNT(*) FILTER (severity = '{s}') AS {s.lower()}_events" for s in weights)
+    risk = " + ".join(f"{w} * COUNT(*) FILTER (severity = '{s}')" for s, w in weights.items())
     return f""", n AS (SELECT city_name, event_type, COUNT(*) AS event_count FROM x GROUP BY ALL),
 j AS (SELECT x.*, n.event_count, ROW_NUMBER() OVER (PARTITION BY x.city_name, x.city_display_name, x.country
     ORDER BY n.event_count DESC, x.event_type DESC) AS place
@@ -231,7 +251,7 @@ j AS (SELECT x.*, n.event_count, ROW_NUMBER() OVER (PARTITION BY x.city_name, x.
 SELECT 'CITY_SUMMARY' AS report_section, city_display_name, country, COUNT(*) AS total_extreme_events,
   {by_type}, {by_level}, MAX(event_date) AS most_recent_event,
   MAX(CASE WHEN place = 1 THEN event_type END) AS most_common_event_type,
-  CAST(SUM(CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'WARNING' THEN 2 WHEN 'WATCH' THEN 1 ELSE 0 END) AS BIGINT) AS risk_score
+  {risk} AS risk_score
 FROM j GROUP BY city_name, city_display_name, country"""
 
 

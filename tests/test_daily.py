@@ -72,7 +72,7 @@ CODES = st.sampled_from(
 )
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(CODES, st.integers(0, 3), st.integers(-300, 500)), min_size=1, max_size=30))
 def test_against_brute_force(spark, readings):
     rows = [
