@@ -6,11 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nimbra.llm import op3_bpe, op4_token_files, op10_packing
+from nimbra.llm import (
+    op2_simhash,
+    op3_bpe,
+    op4_token_files,
+    op6_quality_rules,
+    op7_html_extraction,
+    op8_quality_classifier,
+    op9_neighbours,
+    op10_packing,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_near_dedup": op2_simhash.query,
     "op3_byte_bpe": op3_bpe.query,
     "op4_token_files": op4_token_files.query,
+    "op6_quality_rules": op6_quality_rules.query,
+    "op7_html_extraction": op7_html_extraction.query,
+    "op8_quality_classifier": op8_quality_classifier.query,
+    "op9_nearest_neighbours": op9_neighbours.query,
     "op10_packing": op10_packing.query,
 }
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of those that SQL can express; the others are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op6_quality_rules": op6_quality_rules.ORACLE,
+    "op9_nearest_neighbours": op9_neighbours.ORACLE,
+}

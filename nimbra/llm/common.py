@@ -42,7 +42,7 @@ def lower_ascii(column):
 
 _ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: str.split() also splits at other Unicode spaces, so it may only be used where none occur.
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACES = re.compile(WORD_SPACE)
 
 
