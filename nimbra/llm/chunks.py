@@ -11,58 +11,82 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-_RUNS = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
-#: A word of letters, then ASCII punctuation but the apostrophe: always two matches of the pattern.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]+)")
+#: A word of letters, then ASCII punctuation but the apostrophe: one match of the pattern each.
+_SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
 
-#: Encoded chunks, and encoded pieces, kept by a Python worker before they start anew.
-KEPT = 500_000
+#: Distinct chunks that a Python worker remembers before it starts anew.
+KEPT = 900_000
 
 
-def chunks_of(text: str) -> list[str]:
-    """Chunks without the space that was cut at; every one but the first follows one."""
-    return text.split(" ") if _RUNS.search(text) is None else _CUT.split(text)
+class _Numbers(dict):
+    """A number for every chunk, given when it is first looked up."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.values: list[bytes | None] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.new.append(chunk)
+        return number
 
 
 class ChunkEncoder:
-    """Encodes texts through ``encode_pieces``, a function from a list of strings to
-    one value each, remembering the values of chunks and pieces. ``join`` makes the
-    value of a text from the values of its parts."""
+    """Encodes texts through two functions from a list of strings to one bytes object each:
+    ``encode_matches`` for strings that the pattern matches whole, ``encode_any`` for others.
+    Results of chunks are remembered. Chunks but the first of a text follow a space."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list], join: Callable):
-        self.encode_pieces, self.join = encode_pieces, join
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
-        self.pieces: dict[str, object] = {}
+    def __init__(self, encode_matches: Callable[[list[str]], list[bytes]], encode_any: Callable[[list[str]], list[bytes]]):
+        self.encode_matches, self.encode_any = encode_matches, encode_any
+        self.first, self.later = _Numbers(), _Numbers()
 
-    def encode(self, texts: list[str]) -> list:
-        cut = [chunks_of(text) for text in texts]
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.first) + len(self.later) > KEPT:
-            self.first, self.later = {}, {}
-        if len(self.pieces) > KEPT:
-            self.pieces = {}
-        first = list({parts[0] for parts in cut}.difference(self.first))
-        later_set: set[str] = set()
-        for parts in cut:
-            later_set.update(parts[1:])
-        later = list(later_set.difference(self.later))
-        split = [_pieces(chunk) for chunk in first] + [_pieces(f" {chunk}") for chunk in later]
-        missing = list({piece for pieces in split for piece in pieces}.difference(self.pieces))
-        if missing:
-            self.pieces.update(zip(missing, self.encode_pieces(missing), strict=True))
-        of = self.pieces.__getitem__
-        values = [of(pieces[0]) if len(pieces) == 1 else self.join([*map(of, pieces)]) for pieces in split]
-        self.first.update(zip(first, values[: len(first)], strict=True))
-        self.later.update(zip(later, values[len(first) :], strict=True))
-        head, tail = self.first.__getitem__, self.later.__getitem__
-        return [self.join([head(parts[0]), *map(tail, parts[1:])]) for parts in cut]
-
+            self.first, self.later = _Numbers(), _Numbers()
+        first, later = self.first, self.later
+        numbers = []
+        for text in texts:
+            rest = iter(text.split(" "))
+            numbers.append((first[next(rest)], [*map(later.__getitem__, rest)]))
+        self._learn(first, "")
+        self._learn(later, " ")
+        out, of, odd = [], later.values.__getitem__, []
+        for i, (head, tail) in enumerate(numbers):
+            try:
+                out.append(b"".join([first.values[head], *map(of, tail)]))
+            except TypeError:  # where spaces meet other white space, a chunk has no value of its own
+                out.append(b"")
+                odd.append(i)
+        if odd:
+            cut = [_CUT.split(texts[i]) for i in odd]
+            chunks = list({parts[0] for parts in cut} | {" " + part for parts in cut for part in parts[1:]})
+            values = dict(zip(chunks, self.encode_any(chunks), strict=True))
+            for i, parts in zip(odd, cut, strict=True):
+                out[i] = b"".join([values[parts[0]], *(values[" " + part] for part in parts[1:])])
+        return out
 
-def _pieces(chunk: str) -> list[str]:
-    simple = _SIMPLE.fullmatch(chunk, 1 if chunk[:1] == " " else 0)
-    if simple is None:
-        return [chunk]
-    at = simple.end(1)
-    return [chunk[:at], chunk[at:]]
+    def _learn(self, numbers: _Numbers, before: str) -> None:
+        """Values of the new chunks; none for one that is empty or has white space at an end."""
+        new, numbers.new = numbers.new, []
+        split = []
+        matches: set[str] = set()
+        others: list[str] = []
+        for chunk in new:
+            chunk = before + chunk
+            simple = _SIMPLE.fullmatch(chunk)
+            if simple:
+                split.append(simple.groups())
+                matches.update(simple.groups())
+            elif len(chunk) == len(before) or chunk[len(before)].isspace() or chunk[-1].isspace():
+                split.append(None)
+            else:
+                split.append((chunk,))
+                others.append(chunk)
+        words = list(matches)
+        values = dict(zip(words, self.encode_matches(words), strict=True)) if words else {}
+        values.update(zip(others, self.encode_any(others), strict=True))
+        values[""] = b""
+        numbers.values.extend(None if s is None else values[s[0]] + values[s[1]] if len(s) == 2 else values[s[0]] for s in split)

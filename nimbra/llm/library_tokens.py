@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import os
-
-import numpy as np
+from array import array
+from functools import partial
 
 from nimbra.llm.chunks import ChunkEncoder
 
@@ -16,19 +16,21 @@ def library_encoder(path: str) -> ChunkEncoder:
     special tokens in a text are ordinary text; no special tokens are added."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        whole, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # strings that the pattern matches whole need no splitting
+        single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        whole.encode_special_tokens = single.encode_special_tokens = True
 
-        def encode_pieces(pieces: list[str]) -> list[bytes]:
+        def encode(tokenizer: Tokenizer, pieces: list[str]) -> list[bytes]:
             out: list[bytes] = []
             for at in range(0, len(pieces), 20_000):
-                for encoding in tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False):
-                    out.append(np.array(encoding.ids, "<u4").tobytes())
+                found = tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False)
+                out.extend(array("I", encoding.ids).tobytes() for encoding in found)
             return out
 
-        _ENCODERS[path] = ChunkEncoder(encode_pieces, b"".join)
+        _ENCODERS[path] = ChunkEncoder(partial(encode, single), partial(encode, whole))
     return _ENCODERS[path]
 
 

@@ -10,7 +10,6 @@ rows without a pair of known rank leave the matrix.
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +24,6 @@ NO_RANK = np.int32(2**31 - 1)
 PAD = -1
 #: A matrix has at most this many cells (rows are taken in several matrices beyond it).
 MATRIX_CELLS = 1 << 21
-#: Matched whole by the pattern.
-_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,7 +89,7 @@ class BytePairCodec:
             if token[:at] in ranks and token[at:] in ranks
         ]
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
-        self.chunks = ChunkEncoder(self._encode_chunks, b"".join)
+        self.chunks = ChunkEncoder(self._encode_matches, self._encode_chunks)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> BytePairCodec:
@@ -106,10 +103,13 @@ class BytePairCodec:
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
+    def _encode_matches(self, pieces: list[str]) -> list[bytes]:
+        return self.encode_pieces([piece.encode() for piece in pieces])
+
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        cut = [[chunk] if _WORD.fullmatch(chunk) else self.findall(chunk) for chunk in chunks]
+        cut = [self.findall(chunk) for chunk in chunks]
         distinct = list({piece for pieces in cut for piece in pieces})
-        known = dict(zip(distinct, self.encode_pieces([p.encode() for p in distinct]), strict=True))
+        known = dict(zip(distinct, self._encode_matches(distinct), strict=True))
         return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
 
     def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
