@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nimbra.llm import (
+    op1_toxicity,
     op2_simhash,
     op3_bpe,
     op4_token_files,
+    op5_language_model,
     op6_quality_rules,
     op7_html_extraction,
     op8_quality_classifier,
@@ -18,9 +20,11 @@ from nimbra.llm import (
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity.query,
     "op2_simhash_near_dedup": op2_simhash.query,
     "op3_byte_bpe": op3_bpe.query,
     "op4_token_files": op4_token_files.query,
+    "op5_language_model": op5_language_model.query,
     "op6_quality_rules": op6_quality_rules.query,
     "op7_html_extraction": op7_html_extraction.query,
     "op8_quality_classifier": op8_quality_classifier.query,

@@ -198,10 +198,9 @@ def fitted(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of at least the threshold's score; learned from labelled ``docs`` outside
-    the held-out fold (all documents are kept if there are no labels to learn from)."""
-    model = fit(training_rows(docs, table(spark, sf_dir, "labels"), "quality"), "text", "label")
-    return docs.where(scores(model, F.col("text")) >= THRESHOLD)
+    """The rows of at least the threshold's score. The model is learned from the labelled part of
+    the table of documents: what earlier stages kept may hold no bad example any more."""
+    return docs.where(scores(fitted(spark, sf_dir), F.col("text")) >= THRESHOLD)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
