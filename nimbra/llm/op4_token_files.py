@@ -29,12 +29,16 @@ def bits_for(vocabulary: int) -> int:
 
 def pack_bits(ids: np.ndarray, width: int) -> bytes:
     """Each id in ``width`` bits, high bit first, padded with zeros to a whole byte."""
+    if width in (8, 16, 32):
+        return ids.astype(f">u{width // 8}").tobytes()
     bits = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(bits[:, 32 - width :].ravel()).tobytes()
 
 
 def unpack_bits(payload: bytes, width: int, start: int, end: int) -> np.ndarray:
     """Ids ``start`` to ``end`` (exclusive) of a payload, reading only their bytes."""
+    if width in (8, 16, 32):
+        return np.frombuffer(payload, f">u{width // 8}", end - start, start * width // 8).astype("<u4")
     first = start * width // 8
     raw = np.frombuffer(payload, np.uint8)[first : -(-end * width // 8)]
     skip = start * width - first * 8
