@@ -103,12 +103,17 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "ve
 
     queries, candidates = plain(queries), plain(candidates)
     turn = F.monotonically_increasing_id()
+
+    def block(count: int) -> Column:
+        # int on both sides: Spark deals an int and a bigint of one value to different tasks
+        return F.pmod(turn, F.lit(count)).cast("int")
+
     q_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     c_blocks = max(1, -(-candidates.count() // CANDIDATE_BLOCK))
     left = queries.select(
-        F.size("v").alias("dim"), turn.alias("row"), "id", "v", F.pmod(turn, F.lit(q_blocks)).alias("qb")
+        F.size("v").alias("dim"), turn.alias("row"), "id", "v", block(q_blocks).alias("qb")
     ).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    right = candidates.select(F.size("v").alias("dim"), "id", "v", F.pmod(turn, F.lit(c_blocks)).alias("cb"))
+    right = candidates.select(F.size("v").alias("dim"), "id", "v", block(c_blocks).alias("cb"))
     right = right.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
 
     def tile(ours: pa.Table, theirs: pa.Table) -> pa.Table:
