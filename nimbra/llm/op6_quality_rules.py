@@ -160,7 +160,13 @@ def filter_documents(docs: DataFrame, text_col: str = "text", sample_rows: int =
     has no words and is rejected as too short."""
     rules = base_rules() | more_rules()
     order = cascade_order(docs, rules, text_col, sample_rows)
-    return with_words(docs, text_col).where(kept(rules, order)).select(*(f"`{name}`" for name in docs.columns))
+    names = [f"`{name}`" for name in docs.columns]
+    # The row number keeps the filter above the projection that makes the words: pushed
+    # below it, the rules would split the text anew for every word.
+    judged = with_words(docs, text_col).select(
+        *names, kept(rules, order).alias("__kept"), F.monotonically_increasing_id().alias("__row")
+    )
+    return judged.where(F.col("__kept") & (F.col("__row") >= 0)).select(*names)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
