@@ -1,8 +1,8 @@
 """Arithmetic whose result does not depend on row order or on the engine.
 
-Readings carry at most four decimals. Sums are taken over whole multiples of
-1/10000 in 64-bit integers, which is associative, stays in generated code and
-fails loudly (ANSI mode) instead of wrapping on overflow.
+Sums are taken over decimals of ten places, more than readings carry, so they are
+associative and keep small amounts; a value that does not fit fails loudly (ANSI
+mode) instead of wrapping.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS_PER_ONE = 10_000
+EXACT = "decimal(28,10)"
 
 
 def round_half_away(x: Column, digits: int) -> Column:
@@ -25,16 +25,8 @@ def round_half_away(x: Column, digits: int) -> Column:
     )
 
 
-def units(x: Column) -> Column:
-    return F.floor(x * F.lit(float(UNITS_PER_ONE)) + F.lit(0.5))
-
-
-def from_units(total: Column) -> Column:
-    return total / F.lit(float(UNITS_PER_ONE))
-
-
 def exact_sum(x: Column) -> Column:
-    return from_units(F.sum(units(x)))
+    return F.sum(x.cast(EXACT)).cast("double")
 
 
 def exact_avg(x: Column) -> Column:
@@ -43,5 +35,5 @@ def exact_avg(x: Column) -> Column:
 
 
 def exact_avg_over(x: Column, window) -> Column:
-    total = from_units(F.sum(units(x)).over(window))
+    total = F.sum(x.cast(EXACT)).over(window).cast("double")
     return total / F.nullif(F.count(x).over(window), F.lit(0).cast("bigint"))

@@ -34,47 +34,97 @@ def _dominant_code() -> Column:
     return F.coalesce(*[F.when(dominant == label, code) for label, code in [*single, *shared]])
 
 
+GROUP = ["city_name", "city_display_name", "country", "weather_date"]
+#: Labels in descending order of their names, so that on a tie the first name has the largest place.
+_LABELS = sorted([label for label, _ in WEATHER_CONDITIONS] + [UNKNOWN_CONDITION], reverse=True)
+#: A count and a value in one integer: the largest has the highest count, then the least value.
+_COUNT_STEP, _TOP_VALUE = 1 << 32, (1 << 31) - 1
+
+
+def _measures() -> dict[str, Column]:
+    temperature, humidity = F.col("temperature_2m"), F.col("relative_humidity_2m")
+    return {
+        "mean_temperature": exact_avg(temperature),
+        "highest": F.max(temperature),
+        "lowest": F.min(temperature),
+        "mean_apparent": exact_avg(F.col("apparent_temperature")),
+        "mean_humidity": F.sum(humidity) / F.nullif(F.count(humidity), F.lit(0).cast("bigint")),
+        "max_humidity": F.max(humidity),
+        "min_humidity": F.min(humidity),
+        "precipitation": exact_sum(F.col("precipitation")),
+        "rain": exact_sum(F.col("rain")),
+        "mean_wind": exact_avg(F.col("wind_speed_10m")),
+        "wind": F.max("wind_speed_10m"),
+        **{f"code of {k}": v for k, v in _lowest_code_by_condition().items()},
+        "uv": F.max("uv_index"),
+        "mean_uv": exact_avg(F.col("uv_index")),
+        "record_count": F.count("*").cast("int"),
+    }
+
+
+def _stream_summary(readings: DataFrame) -> DataFrame:
+    """One aggregate, as a stream allows; it counts every direction and condition of a city-day."""
+    return readings.groupBy(*GROUP).agg(
+        *[measure.alias(name) for name, measure in _measures().items()],
+        F.mode("wind_direction_10m", True).alias("dominant_wind_direction"),
+        F.mode("weather_condition", True).alias("dominant_condition"),
+    )
+
+
+def _batch_summary(readings: DataFrame) -> DataFrame:
+    """Hash aggregates over plain numbers only.
+
+    Conditions are a fixed list, so each has a counter. Directions are counted in a
+    narrow aggregate of their own, whose best count and direction, in one integer,
+    joins the summary. Both sides are grouped by the columns of the join, which are
+    made free of nulls for it (a value and whether it is null), so the join moves nothing.
+    """
+    kinds = {f.name: f.dataType for f in readings.schema.fields}
+    blank = {name: "1970-01-01" if name == "weather_date" else "" for name in GROUP}
+    parts = {f"null {name}": F.col(name).isNull() for name in GROUP} | {
+        f"key {name}": F.coalesce(F.col(name), F.lit(blank[name]).cast(kinds[name])) for name in GROUP
+    }
+    keyed = readings.withColumns(parts)
+    counters = [
+        F.count_if(F.col("weather_condition") == label).alias(f"count {i}") for i, label in enumerate(_LABELS)
+    ]
+    summary = keyed.groupBy(*parts).agg(
+        *[measure.alias(name) for name, measure in _measures().items()], *counters
+    )
+    most = F.greatest(*[F.col(f"count {i}") * len(_LABELS) + i for i in range(len(_LABELS))])
+    labels = F.array(*[F.lit(label) for label in _LABELS])
+    counted = (
+        keyed.where(F.col("wind_direction_10m").isNotNull())
+        .groupBy(*parts, "wind_direction_10m")
+        .agg(F.count("*").alias("n"))
+    )
+    best = counted.groupBy(*parts).agg(
+        F.max(F.col("n") * _COUNT_STEP + (_TOP_VALUE - F.col("wind_direction_10m").cast("bigint"))).alias("best")
+    )
+    return summary.join(best, list(parts), "left").withColumns(
+        {
+            "dominant_condition": F.get(labels, (most % len(_LABELS)).cast("int")),
+            "dominant_wind_direction": (_TOP_VALUE - F.col("best") % _COUNT_STEP).cast("int"),
+            **{name: F.when(~F.col(f"null {name}"), F.col(f"key {name}")) for name in GROUP},
+        }
+    )
+
+
 def to_daily(silver: DataFrame, as_of: dt.date, run_date: dt.date | None = None) -> DataFrame:
     """Daily summary of every city-day in ``silver`` (all 27 columns).
 
-    One aggregate and one shuffle. Rows are combined per city-day in the
-    input tasks; what is shuffled is one partial row per city-day and task,
-    whatever the size of the city-day. The two most-frequent values keep a
-    counter per distinct direction (whole degrees) and per condition.
+    Rows are combined per city-day in the input tasks; what is shuffled is one
+    partial row per city-day and task, and one count per direction, whatever the
+    size of the city-day. A batch reads ``silver`` twice, the second time only the
+    grouping columns and the direction.
 
     ``as_of`` stamps the audit dates. A range of days carries each day's own
     date as run date unless ``run_date`` is given.
     """
-    temperature, humidity = F.col("temperature_2m"), F.col("relative_humidity_2m")
-    lowest = {f"code of {k}": v for k, v in _lowest_code_by_condition().items()}
-    summary = (
-        silver.where(F.col("data_quality_flag") != "BAD")
-        .groupBy(
-            "city_name", "city_display_name", "country",
-            F.col("observation_date").alias("weather_date"),
-        )
-        .agg(
-            exact_avg(temperature).alias("mean_temperature"),
-            F.max(temperature).alias("highest"),
-            F.min(temperature).alias("lowest"),
-            exact_avg(F.col("apparent_temperature")).alias("mean_apparent"),
-            (F.sum(humidity) / F.nullif(F.count(humidity), F.lit(0).cast("bigint"))).alias(
-                "mean_humidity"
-            ),
-            F.max(humidity).alias("max_humidity"),
-            F.min(humidity).alias("min_humidity"),
-            exact_sum(F.col("precipitation")).alias("precipitation"),
-            exact_sum(F.col("rain")).alias("rain"),
-            exact_avg(F.col("wind_speed_10m")).alias("mean_wind"),
-            F.max("wind_speed_10m").alias("wind"),
-            F.mode("wind_direction_10m", True).alias("dominant_wind_direction"),
-            F.mode("weather_condition", True).alias("dominant_condition"),
-            *[code.alias(name) for name, code in lowest.items()],
-            F.max("uv_index").alias("uv"),
-            exact_avg(F.col("uv_index")).alias("mean_uv"),
-            F.count("*").cast("int").alias("record_count"),
-        )
+    readings = silver.where(F.col("data_quality_flag") != "BAD").withColumnRenamed(
+        "observation_date", "weather_date"
     )
+    summary = _stream_summary(readings) if silver.isStreaming else _batch_summary(readings)
     run = F.lit(run_date) if run_date else F.col("weather_date")
     rounded = {
         "avg_temperature": F.col("mean_temperature"),

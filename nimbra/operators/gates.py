@@ -17,7 +17,8 @@ class GateFailed(ValueError):
 def require_empty(findings: DataFrame, what: str) -> None:
     found = findings.take(5)
     if found:
-        raise GateFailed(f"{what}: {[r.asDict() for r in found]}")
+        total = findings.count()
+        raise GateFailed(f"{what}: {total}, such as {[r.asDict() for r in found]}")
 
 
 def require_no_failure(statuses: DataFrame, what: str) -> None:

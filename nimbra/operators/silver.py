@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbra.fixed_values import HOURLY_VARIABLES, HOURS_PER_DAY
+from nimbra.fixed_values import HOURLY_VARIABLES
 from nimbra.functions.weather import condition_label, quality_flag
 from nimbra.schemas import SILVER
 
@@ -16,15 +16,14 @@ METADATA = [
 
 
 def explode_hours(documents: DataFrame, *carried: str) -> DataFrame:
-    """One row per position of the hourly arrays, at most 24 per document.
+    """One row per position of the hourly arrays, all of them: a local day may have 23 or 25 hours.
 
     ``get`` is null past the end of a short array and for a missing variable,
     so a reading is kept whatever its document lacks. Positions that do not
     exist are not emitted: their temperature would be null, hence BAD.
     """
-    hours = F.slice("hourly.time", 1, HOURS_PER_DAY)
     return documents.select(
-        *METADATA, *carried, "hourly", F.posexplode(hours).alias("position", "raw_timestamp")
+        *METADATA, *carried, "hourly", F.posexplode("hourly.time").alias("position", "raw_timestamp")
     ).select(
         *METADATA,
         *carried,
@@ -70,21 +69,27 @@ def flagged(readings: DataFrame, *carried: str, tolerant: bool = False) -> DataF
 
 
 def to_silver(readings: DataFrame, tolerant: bool = False) -> DataFrame:
-    """GOOD and SUSPECT readings only."""
-    return flagged(readings, tolerant=tolerant).where(F.col("data_quality_flag") != "BAD")
+    """GOOD and SUSPECT readings that have a date (all have one unless ``tolerant``)."""
+    kept = (F.col("data_quality_flag") != "BAD") & F.col("observation_date").isNotNull()
+    return flagged(readings, tolerant=tolerant).where(kept)
 
 
-def rejects(readings: DataFrame) -> DataFrame:
-    """Readings that Silver leaves out, counted per city-day."""
+def rejects(readings: DataFrame, tolerant: bool = False) -> DataFrame:
+    """Readings that Silver leaves out, counted per city-day with their reasons.
+
+    Silver and these counts add up to the readings. The date of readings without a
+    readable time is null.
+    """
     return (
-        flagged(readings)
-        .where(F.col("data_quality_flag") == "BAD")
+        flagged(readings, tolerant=tolerant)
+        .where((F.col("data_quality_flag") == "BAD") | F.col("observation_date").isNull())
         .groupBy("city_name", "observation_date")
         .agg(
             F.count("*").alias("rejected"),
             F.count_if(F.col("temperature_2m").isNull()).alias("no_temperature"),
             F.count_if(F.col("relative_humidity_2m").isNull()).alias("no_humidity"),
             F.count_if(F.col("wind_speed_10m").isNull()).alias("no_wind"),
+            F.count_if(F.col("observation_date").isNull()).alias("no_time"),
         )
     )
 
@@ -92,16 +97,21 @@ def rejects(readings: DataFrame) -> DataFrame:
 CITY_DAY = ["city_name", "observation_date"]
 
 
-def kept_city_days(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """City-days that exist and that ``incoming`` does not restate."""
-    old, new = (rows.select(CITY_DAY).distinct() for rows in (existing, incoming))
-    return old.join(new, CITY_DAY, "left_anti")
+def document_city_days(documents: DataFrame) -> DataFrame:
+    """City-days that ``documents`` state, whether a reading of them survives or not:
+    the date of the run and the dates of their hours."""
+    hours = F.transform(
+        F.coalesce("hourly.time", F.array().cast("array<string>")),
+        lambda text: F.substring(text, 1, 10).try_cast("date"),
+    )
+    dates = F.array_distinct(F.array_append(hours, F.col("pipeline_run_date").try_cast("date")))
+    stated = documents.select("city_name", F.explode(dates).alias("observation_date"))
+    return stated.where(F.col("observation_date").isNotNull()).distinct()
 
 
-def kept_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Existing rows of the city-days that ``incoming`` does not restate.
+def kept_rows(existing: DataFrame, restated: DataFrame) -> DataFrame:
+    """Existing rows of the city-days that are not in ``restated``.
 
     Silver is replaced per (city, date): other cities of a date keep their rows.
     """
-    restated = incoming.select(CITY_DAY).distinct()
     return existing.join(restated, CITY_DAY, "left_anti").select(existing.columns)

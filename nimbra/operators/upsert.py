@@ -23,9 +23,12 @@ class DuplicateKeys(ValueError):
 
 
 def require_unique(source: DataFrame, keys: list[str]) -> None:
-    found = duplicate_keys(source, keys).take(5)
+    claimed = duplicate_keys(source, keys)
+    found = claimed.take(5)
     if found:
-        raise DuplicateKeys(f"several source rows for one key: {[r.asDict() for r in found]}")
+        raise DuplicateKeys(
+            f"several source rows for one key: {claimed.count()} keys, such as {[r.asDict() for r in found]}"
+        )
 
 
 def merge(

@@ -22,6 +22,7 @@ from nimbra.plans.runs import (
     run_backfill,
     run_daily,
     run_range,
+    run_silver,
     store_silver,
     upsert_daily,
     upsert_events,
@@ -288,7 +289,7 @@ def bronze_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{DOCUMENTS} SELECT city_name, raw_timestamp, temperature_2m, wind_direction_10m,
   CASE WHEN document % 3 = 0 THEN NULL ELSE uv_index END AS uv_index
-FROM r WHERE hour_index <= 24""")
+FROM r""")
 def bronze_missing_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A variable is absent from some landed documents; their readings stay."""
     absent = F.col("document") % 3 == 0
@@ -321,9 +322,9 @@ def dq_hour_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"""{GOLD} SELECT city_name, weather_date, record_count FROM g WHERE record_count < 24""")
+@query(f"""{LINES_GOLD} SELECT city_name, weather_date, record_count FROM g WHERE record_count < 24""")
 def dq_incomplete_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.incomplete_days(daily_of(spark, sf_dir))
+    return gates.incomplete_days(daily_of(spark, sf_dir, "lineitem"))
 
 
 @query(f"""{DOCUMENTS} SELECT city_name, CAST(d AS VARCHAR) AS pipeline_run_date, document,
@@ -350,7 +351,7 @@ def bronze_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{DOCUMENTS} SELECT city_name, document, hour_index - 1 AS position, raw_timestamp,
-  {sql.MEASURES} FROM r WHERE hour_index <= 24""")
+  {sql.MEASURES} FROM r""")
 def silver_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_ops.explode_hours(documents_of(spark, sf_dir), "document").select(
         "city_name", "document", "position", "raw_timestamp", *HOURLY_VARIABLES
@@ -414,10 +415,31 @@ def silver_replace_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.silver.read(spark)
 
 
+@query(f"""{DOCUMENTS + sql.silver()} SELECT {sql.SILVER_COLUMNS} FROM s WHERE city_name <> 'london'
+  AND NOT (city_name = 'tokyo' AND d % 2 = 0)""".replace("d % 2", "EXTRACT(DAY FROM pipeline_run_date) % 2"))
+def silver_replace_all_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One city restated without temperatures, another on even days without any hour:
+    the old rows of these city-days go, all others stay."""
+    lake = Lakehouse.at(new_folder(spark, "lake"))
+    documents = documents_of(spark, sf_dir)
+    run_silver(spark, lake, documents)
+    nothing = F.transform("hourly.temperature_2m", lambda v: F.lit(None).cast("double"))
+    bad = documents.where(F.col("city_name") == "london").withColumn(
+        "hourly", F.col("hourly").withField("temperature_2m", nothing)
+    )
+    even = F.dayofmonth(F.col("pipeline_run_date").cast("date")) % 2 == 0
+    no_hours = F.array().cast("array<string>")
+    empty = documents.where((F.col("city_name") == "tokyo") & even).withColumn(
+        "hourly", F.col("hourly").withField("time", no_hours)
+    )
+    run_silver(spark, lake, bad.unionByName(empty))
+    return lake.silver.read(spark)
+
+
 @query(f"""{SILVER} SELECT city_name, observation_date, COUNT(*) AS rejected,
   COUNT(CASE WHEN temperature_2m IS NULL THEN 1 END) AS no_temperature,
   COUNT(CASE WHEN relative_humidity_2m IS NULL THEN 1 END) AS no_humidity,
-  COUNT(CASE WHEN wind_speed_10m IS NULL THEN 1 END) AS no_wind
+  COUNT(CASE WHEN wind_speed_10m IS NULL THEN 1 END) AS no_wind, CAST(0 AS BIGINT) AS no_time
 FROM fs WHERE data_quality_flag = 'BAD' GROUP BY ALL""")
 def silver_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_ops.rejects(hourly_readings(spark, sf_dir))

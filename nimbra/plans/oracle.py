@@ -64,15 +64,11 @@ EVENT_TESTS = {
     "THUNDERSTORM": f"dominant_weather_code IN ({', '.join(map(str, V.STORM_CODES))})",
 }
 EVENT_TYPE = "CASE " + " ".join(f"WHEN {t} THEN '{n}'" for n, t in EVENT_TESTS.items()) + " END"
-SEVERITY = (
-    "CASE "
-    + " ".join(
-        f"WHEN GREATEST(max_temperature - {heat}, total_precipitation - {rain}, "
-        f"max_wind_speed - {wind}) > 0 THEN '{level}'"
-        for level, heat, rain, wind, _ in V.SEVERITIES
-    )
-    + f" ELSE '{V.LOWEST_SEVERITY[0]}' END"
-)
+# Severity levels by temperature, precipitation and wind.
+SEVERITY = """CASE
+  WHEN max_temperature > 48 OR total_precipitation > 100 OR max_wind_speed > 120 THEN 'CRITICAL'
+  WHEN max_temperature > 45 OR total_precipitation > 75 OR max_wind_speed > 90 THEN 'WARNING'
+  ELSE 'WATCH' END"""
 
 
 def rounded(x: str, digits: int) -> str:
@@ -84,7 +80,7 @@ def rounded(x: str, digits: int) -> str:
 
 
 def total(x: str, over: str = "") -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18,4))){over} AS DOUBLE)"
+    return f"CAST(SUM(CAST({x} AS DECIMAL(28,10))){over} AS DOUBLE)"
 
 
 def mean(x: str, over: str = "") -> str:
@@ -93,27 +89,26 @@ def mean(x: str, over: str = "") -> str:
 
 def readings(table: str = "events", documents: bool = False) -> str:
     """CTEs up to ``r``: readings with their city, date, document and position."""
-    group, document = "", "0"
     if documents:
-        group, document = ", event_id // 256", "event_id // 256"
-    if table == "events":
-        rows = f"""SELECT event_id, event_type, CAST(user_id % 6 AS INT) AS ci,
-  CAST(ts AS DATE) AS d, CAST(EXTRACT(DAY FROM ts) AS INT) AS dom, {document} AS document,
-  CAST(ROW_NUMBER() OVER (PARTITION BY user_id % 6, CAST(ts AS DATE){group}
-    ORDER BY ts, event_id) AS INT) AS hour_index FROM events"""
+        rows = """SELECT *, (hour_index-1)%24 AS hour FROM (SELECT event_id, event_type,
+  CAST(user_id % 6 AS INT) AS ci, CAST(ts AS DATE) AS d, CAST(EXTRACT(DAY FROM ts) AS INT) AS dom,
+  event_id // 256 AS document, CAST(ROW_NUMBER() OVER (PARTITION BY user_id % 6, CAST(ts AS DATE),
+    event_id // 256 ORDER BY ts, event_id) AS INT) AS hour_index FROM events) q"""
+    elif table == "events":
+        rows = """SELECT event_id, event_type, CAST(user_id % 6 AS INT) AS ci, CAST(ts AS DATE) AS d,
+  CAST(EXTRACT(DAY FROM ts) AS INT) AS dom, 0 AS document, 0 AS hour_index,
+  CAST(EXTRACT(HOUR FROM ts) AS INT) AS hour FROM events"""
     else:
         rows = """SELECT CAST(l_orderkey*7+l_partkey+l_linenumber AS BIGINT) AS event_id,
   CASE WHEN l_returnflag='R' THEN 'error' ELSE 'view' END AS event_type,
   CAST(l_suppkey % 6 AS INT) AS ci, CAST(l_shipdate AS DATE) AS d,
-  CAST(EXTRACT(DAY FROM l_shipdate) AS INT) AS dom, 0 AS document,
-  CAST(ROW_NUMBER() OVER (PARTITION BY l_suppkey % 6, CAST(l_shipdate AS DATE)
-    ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-    l_discount, l_tax, l_returnflag, l_linestatus) AS INT) AS hour_index FROM lineitem"""
+  CAST(EXTRACT(DAY FROM l_shipdate) AS INT) AS dom, 0 AS document, 0 AS hour_index,
+  CAST((l_orderkey*7+l_linenumber)%24 AS INT) AS hour FROM lineitem"""
     return f"""WITH e AS ({rows}),
 b AS (SELECT *, (ci*131+dom*17)%60-8 AS base FROM e),
 r AS (SELECT c.city_name, c.city_display_name, c.country, c.latitude, c.longitude, c.timezone,
   c.utc_minutes, b.d, b.hour_index, b.document, b.event_id,
-  concat(CAST(b.d AS VARCHAR),'T',lpad(CAST((b.hour_index-1)%24 AS VARCHAR),2,'0'),':00') AS raw_timestamp,
+  concat(CAST(b.d AS VARCHAR),'T',lpad(CAST(b.hour AS VARCHAR),2,'0'),':00') AS raw_timestamp,
   concat(CAST(CAST(b.d + INTERVAL 1 DAY AS DATE) AS VARCHAR),'T00:05:00') AS ingestion_text,
   CASE WHEN event_id%97=0 THEN NULL WHEN event_id%397=1 THEN CAST(75 AS DOUBLE) ELSE CAST(base*10+event_id%50 AS DOUBLE)/10 END AS temperature_2m,
   CAST(base*10+event_id%70-15 AS DOUBLE)/10 AS apparent_temperature,
@@ -138,7 +133,7 @@ def silver(name: str = "s", source: str = "r") -> str:
   CAST(ingestion_text AS TIMESTAMP) AS ingestion_timestamp, d AS pipeline_run_date,
   {FLAG} AS data_quality_flag,
   hour_index, document, utc_minutes
-  FROM {source} WHERE hour_index <= 24),
+  FROM {source}),
 {name} AS (SELECT * FROM f{name} WHERE data_quality_flag <> 'BAD')"""
 
 

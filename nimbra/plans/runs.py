@@ -13,7 +13,13 @@ from nimbra.operators import daily as daily_ops
 from nimbra.operators import gates, shape
 from nimbra.operators.daily import to_daily
 from nimbra.operators.events import to_events
-from nimbra.operators.silver import explode_hours, kept_city_days, kept_rows, to_silver
+from nimbra.operators.silver import (
+    CITY_DAY,
+    document_city_days,
+    explode_hours,
+    kept_rows,
+    to_silver,
+)
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
 from nimbra.scratch import new_folder
 from nimbra.sources.bronze import (
@@ -39,9 +45,13 @@ class Lakehouse:
     events: SlicedTable
 
     @staticmethod
-    def at(root: str) -> Lakehouse:
-        return Lakehouse(silver_table(root), gold_daily_table(root), gold_events_table(root))
-
+    def at(root: str, gold_slices: str = "yyyy-MM") -> Lakehouse:
+        """``gold_slices``: the part of a date that names a slice of the Gold tables."""
+        return Lakehouse(
+            silver_table(root),
+            gold_daily_table(root, gold_slices),
+            gold_events_table(root, gold_slices),
+        )
 
     def create_views(self, spark: SparkSession) -> None:
         """Current tables as temporary views for SQL users."""
@@ -76,21 +86,33 @@ def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(folder)
 
 
-def store_silver(spark: SparkSession, table: SlicedTable, incoming: DataFrame) -> None:
-    """Replace the incoming city-days in Silver.
+def store_silver(
+    spark: SparkSession,
+    table: SlicedTable,
+    incoming: DataFrame,
+    restated: DataFrame | None = None,
+) -> None:
+    """Replace city-days in Silver: the incoming ones and those of ``restated``.
 
-    Incoming rows are computed and written once, into the new version; rows of
+    ``restated`` names the city-days that the documents state; one whose readings are
+    all rejected has no incoming row, and loses its old ones. Incoming rows are computed and written once, into the new version; rows of
     other cities on the same dates are carried over into it before it
     becomes current. A run that restates every city, found out from the two key
     columns, reads nothing else of the old rows.
     """
     version = table.stage(spark, incoming)
-    dates = version.slices(spark)
+    city_days = version.read(spark).select(CITY_DAY)
+    dates = set(version.slices(spark))
+    if restated is not None:
+        restated = written(spark, restated.select(CITY_DAY), "restated")
+        city_days = city_days.unionByName(restated)
+        dates |= set(table.slices_in(restated))
+    city_days, dates = city_days.distinct(), sorted(dates)
     existing = table.read_slices(spark, dates)
     if existing is not None:
-        staged = version.read(spark)
-        if not kept_city_days(existing, staged).isEmpty():
-            version.add(kept_rows(existing, staged))
+        old = existing.select(CITY_DAY).distinct()
+        if not old.join(city_days, CITY_DAY, "left_anti").isEmpty():
+            version.add(kept_rows(existing, city_days))
     version.commit(spark, dates)
 
 
@@ -129,7 +151,8 @@ def upsert_events(
 def run_silver(
     spark: SparkSession, lake: Lakehouse, documents: DataFrame, tolerant: bool = False
 ) -> None:
-    store_silver(spark, lake.silver, to_silver(explode_hours(documents), tolerant))
+    incoming = to_silver(explode_hours(documents), tolerant)
+    store_silver(spark, lake.silver, incoming, document_city_days(documents))
 
 
 def run_gold(

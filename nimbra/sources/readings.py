@@ -2,8 +2,7 @@
 
 The engine's inputs are hourly series per city; the provided tables hold event
 and order-line rows. Here a row becomes one reading: the city comes from a key
-modulo the number of cities, the hour from the row's position in its city-day,
-the measures from integer arithmetic divided by ten (the same double in every
+modulo the number of cities, the hour from the row itself, the measures from integer arithmetic divided by ten (the same double in every
 engine).
 """
 
@@ -23,11 +22,6 @@ DOCUMENT_SPAN = 256
 _CODES = [0, 1, 2, 3, 45, 51, 61, 63, 71, 77, 80, 85, 95, 96, 100]
 
 _EVENTS_ORDER = ["ts", "event_id"]
-# (l_orderkey, l_linenumber) is not unique in the provided tables; the row is.
-_LINEITEM_ORDER = [
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-    "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-]
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +30,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
         (F.col("user_id") % len(CITIES)).cast("int").alias("ci"),
         F.to_date("ts").alias("d"),
+        F.hour("ts").alias("hour"),
         "ts",
     )
 
@@ -46,7 +41,7 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", "error").otherwise("view").alias("event_type"),
         (F.col("l_suppkey") % len(CITIES)).cast("int").alias("ci"),
         F.to_date("l_shipdate").alias("d"),
-        *_LINEITEM_ORDER,
+        ((F.col("l_orderkey") * 7 + F.col("l_linenumber")) % HOURS_PER_DAY).cast("int").alias("hour"),
     )
 
 
@@ -94,9 +89,9 @@ def _with_city(spark: SparkSession, rows: DataFrame) -> DataFrame:
     )
 
 
-def _as_readings(numbered: DataFrame, *carried: str) -> DataFrame:
-    hour = F.lpad(((F.col("hour_index") - 1) % HOURS_PER_DAY).cast("string"), 2, "0")
-    return numbered.select(
+def _as_readings(rows: DataFrame, *carried: str) -> DataFrame:
+    hour = F.lpad(F.col("hour").cast("string"), 2, "0")
+    return rows.select(
         "city_name", "city_display_name", "country", "latitude", "longitude", "timezone",
         F.concat(F.date_add("d", 1).cast("string"), F.lit("T00:05:00")).alias("ingestion_timestamp"),
         "pipeline_run_date",
@@ -107,24 +102,12 @@ def _as_readings(numbered: DataFrame, *carried: str) -> DataFrame:
 
 
 def hourly_readings(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
-    """One series of at most 24 hours per city-day.
+    """Every row as a reading of its city, date and hour; no shuffle, no row left out.
 
-    A day has no 25th hour, so later rows of a city-day have no place in the
-    series. The bound on the row number lets Spark keep the first rows of
-    each city-day in every input task before the shuffle, so a city-day of any
-    size reaches its task as a handful of rows per input task.
+    Several rows may share an hour, as with several sensors of a city.
     """
-    bind, order = {
-        "events": (_events, _EVENTS_ORDER),
-        "lineitem": (_lineitem, _LINEITEM_ORDER),
-    }[table]
-    # One number per city-day: the sort's first key then settles most comparisons.
-    rows = bind(spark, sf_dir).withColumn("series", F.unix_date("d") * len(CITIES) + F.col("ci"))
-    series = Window.partitionBy("series").orderBy(*order)
-    numbered = rows.withColumn("hour_index", F.row_number().over(series)).where(
-        F.col("hour_index") <= HOURS_PER_DAY
-    )
-    return _as_readings(_with_city(spark, numbered))
+    bind = {"events": _events, "lineitem": _lineitem}[table]
+    return _as_readings(_with_city(spark, bind(spark, sf_dir)))
 
 
 def document_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,5 +121,7 @@ def document_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "document", F.floor(F.col("event_id") / DOCUMENT_SPAN)
     )
     within = Window.partitionBy("document", "city_name", "pipeline_run_date").orderBy(*_EVENTS_ORDER)
-    numbered = rows.withColumn("hour_index", F.row_number().over(within))
+    numbered = rows.withColumn("hour_index", F.row_number().over(within)).withColumn(
+        "hour", (F.col("hour_index") - 1) % HOURS_PER_DAY
+    )
     return _as_readings(numbered, "document", "hour_index")

@@ -16,9 +16,12 @@ from nimbra.sources.bronze import good_documents
 
 
 def read_landing(
-    spark: SparkSession, root: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    root: str,
+    files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Documents as their files appear.
+    """Documents as their files appear, read as ``read_bronze`` reads them.
 
     A file is read once per path: a document overwritten at its old path is
     not seen again, so restatements need the batch run.
@@ -27,6 +30,8 @@ def read_landing(
         spark.readStream.schema(bronze_read_schema())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("allowNonNumericNumbers", False)
+        .option("multiLine", multi_line)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -42,6 +47,7 @@ def stream_daily(
     *,
     files_per_batch: int | None = None,
     lateness: str = "7 days",
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Keep the daily summary current with the landing, until it is drained.
 
@@ -51,7 +57,7 @@ def stream_daily(
     rows again. City-days older than ``lateness`` leave the state; documents that
     come later than that belong to a batch run.
     """
-    silver = to_silver(explode_hours(read_landing(spark, landing, files_per_batch)))
+    silver = to_silver(explode_hours(read_landing(spark, landing, files_per_batch, multi_line)))
     # A watermark needs a zone-aware time; the day goes back to a date below.
     dated = silver.withColumn("observation_date", F.col("observation_date").cast("timestamp_ltz"))
     summary = to_daily(dated.withWatermark("observation_date", lateness), as_of)

@@ -124,3 +124,25 @@ def test_rounding_is_half_away_from_zero(spark, eighths):
     got = [r[0] for r in frame.select(round_half_away(F.col("v"), 2)).collect()]
     cent = Decimal("0.01")
     assert got == [float(Decimal(v).quantize(cent, ROUND_HALF_UP)) for v in values]
+
+
+def test_small_amounts_are_not_lost(spark):
+    frame = spark.createDataFrame([(0.00004,)] * 3, "v double")
+    total, mean = frame.agg(exact_sum(F.col("v")), exact_avg(F.col("v"))).first()
+    assert (total, mean) == (0.00012, 0.00004)
+
+
+def test_the_contract_values_are_these():
+    """The SQL of the queries names the same values, and neither may change alone."""
+    from nimbra import fixed_values as V
+
+    assert V.PLAUSIBLE == {
+        "temperature_2m": (-60, 60), "relative_humidity_2m": (0, 100), "wind_speed_10m": (0, 300),
+    }
+    assert (V.HEAT_ABOVE, V.COLD_BELOW, V.RAIN_ABOVE, V.WIND_ABOVE, V.UV_ABOVE) == (42, 0, 50, 60, 8)
+    assert V.STORM_CODES == [95, 96, 99]
+    assert V.SEVERITIES == [("CRITICAL", 48, 100, 120, 3), ("WARNING", 45, 75, 90, 2)]
+    assert V.LOWEST_SEVERITY == ("WATCH", 1)
+    assert (V.IDEAL_TEMPERATURE, V.IDEAL_HUMIDITY) == (22, 50)
+    assert (V.TEMPERATURE_PENALTY, V.HUMIDITY_PENALTY) == (2, 0.3)
+    assert (V.BACKFILL_DAYS, V.HOURS_PER_DAY, V.GOLD_COMPLETENESS) == (7, 24, 0.9)

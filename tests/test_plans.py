@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from nimbra.operators import silver as silver_ops
 from nimbra.operators.daily import to_daily
@@ -23,12 +24,22 @@ def plan_of(frame) -> str:
 
 
 @pytest.mark.parametrize("table", ["events", "lineitem"])
-def test_city_days_are_cut_before_the_shuffle(spark, table):
-    plan = plan_of(hourly_readings(spark, SF_DIR, table))
-    assert plan.index("Final") < plan.index("Exchange hashpartitioning") < plan.index("Partial")
+def test_readings_need_no_window_and_no_shuffle(spark, table):
+    plan = plan_of(silver_ops.to_silver(hourly_readings(spark, SF_DIR, table)))
+    assert "Window" not in plan and "hashpartitioning" not in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+@pytest.mark.parametrize("table", ["events", "lineitem"])
+def test_silver_and_rejects_add_up_to_the_table(spark, table, scale):
+    sf_dir = f"/root/testdata/sf{scale}"
+    readings = hourly_readings(spark, sf_dir, table)
+    rejected = silver_ops.rejects(readings).agg(F.sum("rejected")).first()[0]
+    there = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    assert silver_ops.to_silver(readings).count() + rejected == there
+
+
 def test_readings_read_only_the_columns_they_use(spark):
     plan = plan_of(hourly_readings(spark, SF_DIR).select("city_name", "uv_index"))
     schema = plan[plan.index("ReadSchema"):].splitlines()[0]
@@ -40,10 +51,11 @@ def test_documents_become_silver_without_a_shuffle(spark):
     assert "Exchange" not in plan
 
 
-def test_daily_summary_has_one_shuffle(spark):
+def test_daily_summary_is_hash_aggregates(spark):
     documents = frame_of(spark, document())
-    silver = silver_ops.to_silver(silver_ops.explode_hours(documents))
-    assert plan_of(to_daily(silver, AS_OF)).count("Exchange") == 1
+    plan = plan_of(to_daily(silver_ops.to_silver(silver_ops.explode_hours(documents)), AS_OF))
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert plan.count("hashpartitioning") == 3  # the summary; directions and the best of them
 
 
 def test_no_numbering_over_a_whole_city_day(spark):

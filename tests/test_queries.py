@@ -7,7 +7,8 @@ import pathlib
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from nimbra.plans.catalog import ORACLES, QUERIES
 from tools.check_queries import rows_of
 
 SF_DIR = pathlib.Path("/root/testdata/sf0.001")
@@ -24,13 +25,13 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    frame = queries()[name](spark, str(SF_DIR))
-    answer = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, str(SF_DIR))
+    answer = duck.execute(ORACLES[name])
     columns = [d[0] for d in answer.description]
     assert sorted(frame.columns) == sorted(columns)
     assert rows_of(frame.columns, frame.collect()) == rows_of(columns, answer.fetchall())

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nimbra.operators import gates
+from nimbra.operators.silver import explode_hours, rejects
 from nimbra.plans.runs import (
     Lakehouse,
     land_day,
@@ -13,6 +14,7 @@ from nimbra.plans.runs import (
     run_backfill,
     run_daily,
     run_range,
+    run_silver,
 )
 from nimbra.sources.bronze import good_documents, landed_files, read_bronze
 from nimbra.scratch import new_folder
@@ -211,3 +213,37 @@ def test_only_the_folders_of_the_range_are_listed(spark, tmp_path):
     nothing = dt.date(2020, 1, 1)
     assert read_bronze(spark, str(tmp_path), nothing, nothing).count() == 0
     assert landed_files(spark, str(tmp_path), nothing, nothing).count() == 0
+
+
+def test_a_day_restated_all_bad_loses_its_old_rows(spark, tmp_path):
+    lake = Lakehouse.at(str(tmp_path / "lake"))
+    run_silver(spark, lake, frame_of(spark, document(city="london"), document(city="delhi")))
+    run_silver(spark, lake, frame_of(spark, document(city="london", temperature_2m=[None] * 24)))
+    assert {r["city_name"]: r["count"] for r in lake.silver.read(spark).groupBy("city_name").count().collect()} == {"delhi": 24}
+    run_silver(spark, lake, frame_of(spark, document(city="delhi", hours=0)))
+    assert lake.silver.read(spark).count() == 0
+
+
+def test_unreadable_times_are_rejected_not_stored(spark, tmp_path):
+    lake = Lakehouse.at(str(tmp_path / "lake"))
+    record = document(hours=3)
+    record["hourly"]["time"][1] = "yesterday"
+    frame = frame_of(spark, record)
+    run_silver(spark, lake, frame, tolerant=True)
+    assert lake.silver.read(spark).count() == 2
+    rejected = {r["observation_date"]: r["no_time"] for r in rejects(explode_hours(frame), tolerant=True).collect()}
+    assert rejected == {None: 1}
+
+
+def test_pretty_printed_stream_gives_all_rows(spark, tmp_path, landing):
+    lake = Lakehouse.at(str(tmp_path / "lake"))
+    stream = stream_daily(
+        spark, landing, lake, str(tmp_path / "checkpoint"), dt.date(2024, 1, 20), multi_line=True
+    )
+    stream.awaitTermination()
+    assert lake.daily.read(spark).count() == 18
+
+
+def test_gold_slices_per_day(spark, tmp_path):
+    lake = Lakehouse.at(str(tmp_path / "lake"), gold_slices="yyyy-MM-dd")
+    assert lake.daily.slices_in(daily(spark, {})) == [str(DAY)]
