@@ -226,7 +226,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     totals = held.where("draw < 0.75").agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     n, toxic = int(totals[0]), int(totals[1])
     if not 0 < toxic < n:
-        share = (toxic + 0.5) / (n + 1)
+        share = (toxic + 0.5) / (n + 2)
         return Model({}, [], [math.log(share / (1 - share))] + [0.0] * N_FEATURES)
     stats = (
         held.where("draw < 0.75")
