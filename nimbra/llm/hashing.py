@@ -21,10 +21,13 @@ def word_hashes(words: list[str]) -> np.ndarray:
     raw = [word.encode("utf-8", "surrogatepass") for word in words]
     lengths = np.array([len(r) for r in raw], np.int64)
     data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
-    powers = np.cumprod(np.concatenate(([1], np.full(int(lengths.max(initial=0)), _BASE))).astype(np.uint64))
+    powers = np.ones(int(lengths.max(initial=0)) + 1, np.uint64)
+    powers[1:] = _BASE
+    powers = np.cumprod(powers, dtype=np.uint64)
     ends = np.cumsum(lengths)
     place = np.arange(len(data)) - np.repeat(ends - lengths, lengths)
-    sums = np.concatenate(([0], np.cumsum(data * powers[place], dtype=np.uint64))).astype(np.uint64)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * powers[place], dtype=np.uint64, out=sums[1:])
     return mixed(sums[ends] - sums[ends - lengths] + lengths.astype(np.uint64))
 
 

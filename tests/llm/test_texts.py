@@ -298,3 +298,11 @@ def test_automaton_and_trie_by_brute_force():
         near = [x for x in near if x[0] <= min(reach, op1_toxicity.allowed_edits(x[2]))]
         expected = (min(near)[2], min(near)[0]) if near else None
         assert lexicon.match(word) == expected
+
+
+def test_hashes_do_not_depend_on_the_other_words():
+    from nimbra.llm.hashing import word_hashes
+
+    words = ["a", "b", "ab", "ba", "", "ä", "word " * 50, "\x00", "\x00\x00"]
+    alone = [int(word_hashes([word])[0]) for word in words]
+    assert word_hashes(["x" * 500, *words])[1:].tolist() == alone and len(set(alone)) == len(words)
