@@ -318,7 +318,7 @@ def spans(model: Model, text: Column) -> Column:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic"))
+    model = fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", TRAIN_ROWS))
     return docs.select(
         "doc_id", (fold_of("doc_id", FOLDS) == 0).alias("held_out"), scores(model, F.col("text")).alias("score")
     ).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -215,10 +215,10 @@ WITH d AS (
   SELECT doc_id, COALESCE(text, '') AS t, row_number() OVER () AS r,
          list_filter(regexp_split_to_array(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents
-), windows AS (
-  SELECT r, UNNEST(range(1, len(w) - 1)) AS i, w FROM d
+), zipped AS (
+  SELECT r, generate_subscripts(w, 1) AS i, UNNEST(list_zip(w, w[2:], w[3:])) AS z FROM d
 ), named AS (
-  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM windows
+  SELECT r, i, z[1] || ' ' || z[2] || ' ' || z[3] AS s FROM zipped WHERE z[3] IS NOT NULL
 ), repeated AS (
   SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM named) WHERE c > 1
 ), covered AS (

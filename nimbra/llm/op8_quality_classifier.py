@@ -184,17 +184,25 @@ def scores(model: Model, text: Column) -> Column:
     return score(text)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int = FOLDS) -> DataFrame:
-    """(text, label) of the labelled documents outside the held-out fold. Labels repeated for
-    an id count once (the largest); a null id has no label."""
-    wanted = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("__id")).agg(F.max(label).alias("label"))
-    seen = docs.select(F.col("doc_id").alias("__id"), "text").where(fold_of("__id", folds) != 0)
-    return seen.join(wanted, "__id").select("text", "label")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int, folds: int = FOLDS) -> DataFrame:
+    """(text, label) of labelled documents outside the held-out fold, about ``rows`` of them at
+    most, drawn by a hash of the id. Labels repeated for an id count once (the largest); a null
+    id has no label. The drawn ids, bounded by ``rows``, go to every task; no text is shuffled."""
+    wanted = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("__id"))
+        .agg(F.max(label).alias("label"))
+        .where(fold_of("__id", folds) != 0)
+    )
+    share = min(1.0, rows / max(1, wanted.count()))
+    drawn = wanted.where(F.pmod(F.xxhash64("__id", F.lit(SEED)), F.lit(1_000_000)) < int(share * 1_000_000))
+    seen = docs.select(F.col("doc_id").alias("__id"), "text")
+    return seen.join(F.broadcast(drawn), "__id").select("text", "label")
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> Model:
     """The model of the table of documents and its labels."""
-    return fit(training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality"), "text", "label")
+    return fit(training_rows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", TRAIN_ROWS), "text", "label")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
