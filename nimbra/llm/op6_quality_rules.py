@@ -135,7 +135,9 @@ def cascade_order(docs: DataFrame, rules: dict[str, Column], text_col: str = "te
         took, count = [], 0
         for _ in range(2):
             began = time.perf_counter()
-            count = sample.agg(F.count_if(rejects)).first()[0]
+            # the row number keeps the rule in a projection of its own, above the words
+            judged = sample.select(rejects.alias("rejects"), F.monotonically_increasing_id().alias("row"))
+            count = judged.agg(F.count_if((F.col("row") >= 0) & F.col("rejects"))).first()[0]
             took.append(time.perf_counter() - began)
         return min(took), count
 
