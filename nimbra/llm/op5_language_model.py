@@ -1,21 +1,25 @@
 """Language-model scores by a hashed maximum-entropy model with class-factored softmax.
 
-A token's probability is that of its class given the tokens before it, times its share
-in the class. Classes are learned: words fall into forms (short words as they are,
+A token's probability is that of its class given the tokens before it, times that of its
+word bucket given class and tokens before, times its share in the bucket. Classes are learned: words fall into forms (short words as they are,
 others by their endings), forms are described by their neighbours over the whole
 training text, and similar forms make a class. The class is a softmax over hashed
 features: the token before, the two before as a pair, and skips to the second and
-third. Its weights are trained in rounds: every task makes gradient updates on its
+third. A word's bucket is a row of digits, hashed from the word; each digit is a softmax
+over the same features, joined with the class and the digits before it, and starts from
+the count shares of the digits. There are at least four buckets for a distinct word (up
+to 2^20 in all), so most words have one of their own. All weights are trained in rounds: every task makes gradient updates on its
 documents from common weights, and the results are averaged by how often a feature
 was updated.
 
-A token's share is (c + 1) / (sum of c + 1 over the class, + 1 for unknown words), c
+A token's share is (c + 1) / (sum of c + 1 over the bucket, + 1 for unknown words), c
 its count in the training text. Counts are a table, joined to the tokens of rarer
 words by a shuffle; the most frequent words (a fixed number) go to every task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +37,9 @@ HEAD = 1 << 17
 FORMS, NEIGHBOURS = 2048, 256
 CLASSES = 32
 BUCKETS = 1 << 15
+#: Rows of the weights of words, by feature, class and digits before; bits of word buckets in a class.
+WORD_ROWS = 1 << 17
+LEAST_BITS, MOST_BITS = 5, 15
 ROUNDS = 2
 BATCH = 1024
 RATE = 0.1
@@ -96,19 +103,54 @@ def _before(values: np.ndarray, place: np.ndarray, back: int, missing) -> np.nda
     return out
 
 
-def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The buckets of the features of every token, one row each; the last bucket is constant."""
+def contexts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the features of every token, one row each."""
     lengths = np.diff(np.concatenate((starts, [len(hashes)])))
     place = np.arange(len(hashes)) - np.repeat(starts, lengths)
     one, two, three = (_before(hashes, place, back, _START) for back in (1, 2, 3))
     kinds = [one * np.uint64(3), one * np.uint64(5) + two, two * np.uint64(7), three * np.uint64(11)]
-    found = [(mixed(kind + np.uint64(k)) % np.uint64(BUCKETS - 1)).astype(np.int64) for k, kind in enumerate(kinds)]
-    return np.stack([*found, np.full(len(hashes), BUCKETS - 1)], axis=1)
+    return np.stack([mixed(kind + np.uint64(k)) for k, kind in enumerate(kinds)], axis=1)
+
+
+def class_features(found: np.ndarray) -> np.ndarray:
+    """The buckets of the features of every token; the last bucket is constant."""
+    buckets = (found % np.uint64(BUCKETS - 1)).astype(np.int64)
+    return np.column_stack([buckets, np.full(len(found), BUCKETS - 1)])
+
+
+def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return class_features(contexts(hashes, starts))
+
+
+def word_features(found: np.ndarray, level: int, prefix: np.ndarray) -> np.ndarray:
+    """The rows of the features of every token where ``prefix`` (class and digits) is given."""
+    given = mixed(prefix.astype(np.uint64) * np.uint64(16) + np.uint64(level) + _START)
+    return (mixed(found ^ given[:, None]) % np.uint64(WORD_ROWS)).astype(np.int64)
+
 
+def bucket_bits(distinct: int) -> int:
+    """Bits of the word buckets of a class: four buckets or more for a distinct word."""
+    return min(MOST_BITS, max(LEAST_BITS, 2 + math.ceil(math.log2(max(1, distinct) / CLASSES))))
 
-def class_log_probabilities(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural logarithms of the class probabilities of tokens given by their features."""
-    logits = weights[at[:, 0]]
+
+def word_digits(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
+    """The digits of words, of five bits each; the last may have fewer."""
+    cut = [(at, min(5, bits - at)) for at in range(0, bits, 5)]
+    return [((hashes >> np.uint64(40 + at)) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in cut]
+
+
+def prefixes(of: np.ndarray, digits: list[np.ndarray]) -> list[np.ndarray]:
+    """The class, the class and first digit, and so on to the number of the word bucket."""
+    out = [of]
+    for digit in digits:
+        out.append(out[-1] * CLASSES + digit)
+    return out
+
+
+def class_log_probabilities(weights: np.ndarray, at: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
+    """Natural logarithms of the class (or digit) probabilities of tokens given by their
+    features; ``start`` is what the sums of weights are added to."""
+    logits = weights[at[:, 0]] if start is None else start + weights[at[:, 0]]
     for k in range(1, at.shape[1]):
         logits = logits + weights[at[:, k]]
     logits -= logits.max(axis=1, keepdims=True)
@@ -122,10 +164,11 @@ class Trainer:
         self.weights, self.squares = weights.copy(), squares.copy()
         self.updates = np.zeros(len(weights), np.float32)
 
-    def learn(self, at: np.ndarray, classes: np.ndarray) -> None:
+    def learn(self, at: np.ndarray, classes: np.ndarray, starts: np.ndarray | None = None, given: np.ndarray | None = None) -> None:
+        """``starts`` has the start of the logits for each value of ``given``."""
         for i in range(0, len(at), BATCH):
             rows, wanted = at[i : i + BATCH], classes[i : i + BATCH]
-            error = np.exp(class_log_probabilities(self.weights, rows))
+            error = np.exp(class_log_probabilities(self.weights, rows, None if starts is None else starts[given[i : i + BATCH]]))
             error[np.arange(len(rows)), wanted] -= 1
             flat = rows.T.ravel()
             order = np.argsort(flat, kind="stable")
@@ -208,45 +251,90 @@ def form_classes(cells: np.ndarray, seed: int = SEED) -> np.ndarray:
 
 
 class Model:
-    """What every task gets: head counts, classes of forms, class totals, weights; its size is fixed by the constants."""
+    """What every task gets: head counts, classes of forms, totals of word buckets, weights."""
 
     def __init__(self, head: dict[str, int], classes: np.ndarray, tokens: int, distinct: int):
         self.head, self.classes, self.tokens, self.distinct = head, classes, tokens, distinct
-        self.class_totals = np.ones(CLASSES)
-        self.weights = np.zeros((BUCKETS, CLASSES), np.float32)
-        self.squares = np.zeros(BUCKETS, np.float32)
-
-
-def _class_totals(counts: DataFrame, classes: np.ndarray) -> np.ndarray:
+        self.bits = bucket_bits(distinct)
+        self.totals = np.ones(0)
+        self.starts: list[np.ndarray] = []
+        self.weights = np.zeros((BUCKETS + WORD_ROWS, CLASSES), np.float32)
+        self.squares = np.zeros(BUCKETS + WORD_ROWS, np.float32)
+
+    def set_totals(self, totals: np.ndarray) -> None:
+        """Sums of (count + 1) of the word buckets, from which all softmaxes start."""
+        self.totals = totals
+        levels, sums = [], totals
+        while len(sums) > CLASSES:
+            sums = sums.reshape(-1, CLASSES)
+            whole = np.maximum(1e-30, sums.sum(axis=1, keepdims=True))
+            levels.append(np.where(sums > 0, np.log(np.maximum(1e-30, sums / whole)), -1e30).astype(np.float32))
+            sums = sums.sum(axis=1)
+        self.starts = levels[::-1]
+        self.weights[BUCKETS - 1] = np.log(sums / sums.sum())
+
+    def log_probabilities(self, hashes: np.ndarray, starts: np.ndarray, of: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
+        """Natural logarithms of the probabilities of each token's class and word bucket."""
+        found = contexts(hashes, starts)
+        before = prefixes(of, digits)
+        out = np.empty(len(of))
+        for i in range(0, len(of), BATCH):
+            part = slice(i, i + BATCH)
+            rows = np.arange(len(of[part]))
+            out[part] = class_log_probabilities(self.weights, class_features(found[part]))[rows, of[part]]
+            for level, digit in enumerate(digits):
+                given = before[level][part]
+                at = word_features(found[part], level, given)
+                out[part] += class_log_probabilities(self.weights[BUCKETS:], at, self.starts[level][given])[rows, digit[part]]
+        return out
+
+
+def _bucket_totals(counts: DataFrame, classes: np.ndarray, bits: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = classes[_forms(batch.column(0).to_pylist())] if batch.num_rows else np.empty(0, np.int64)
-            sums = np.bincount(of, weights=batch.column(1).to_numpy() + 1.0, minlength=CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(sums)], ["class", "z"])
-
-    found = counts.select("word", "n").mapInArrow(run, "class bigint, z double").groupBy("class").agg(F.sum("z").alias("z"))
-    totals = np.ones(CLASSES)
-    for row in found.collect():
-        totals[row["class"]] += row["z"]
+            if batch.num_rows:
+                words = batch.column(0).to_pylist()
+                of = prefixes(classes[_forms(words)], word_digits(word_hashes(words), bits))[-1]
+                buckets, place = np.unique(of, return_inverse=True)
+                sums = np.bincount(place, weights=batch.column(1).to_numpy() + 1.0)
+                yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(sums)], ["bucket", "z"])
+
+    found = counts.select("word", "n").mapInArrow(run, "bucket bigint, z double").groupBy("bucket").agg(F.sum("z").alias("z")).toArrow()
+    # one for unknown words in each bucket that there is
+    whole, last = divmod(bits, 5)
+    totals = np.ones((CLASSES ** (1 + whole), CLASSES if last else 1))
+    totals[:, 1 << last :] = 0
+    totals = totals.ravel()
+    totals[found["bucket"].to_numpy()] += found["z"].to_numpy()
     return totals
 
 
 def _round(model: Model, training: DataFrame) -> None:
     """One round of updates over ``training``: from the model's weights to their average."""
-    weights, squares, classes = model.weights, model.squares, model.classes
+    weights, squares, classes, bits, priors = model.weights, model.squares, model.classes, model.bits, model.starts
     columns = [f"w{c}" for c in range(CLASSES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trainer = Vocabulary(), Trainer(weights, squares)
+        known, trainer, words = Vocabulary(), Trainer(weights[:BUCKETS], squares[:BUCKETS]), Trainer(weights[BUCKETS:], squares[BUCKETS:])
         for batch in slices(batches, "text"):
             at, starts = known.numbers(texts_of(batch, "text"))
-            trainer.learn(features(known.hashes[at], starts), classes[known.forms[at]])
-        rows = np.flatnonzero(trainer.updates)
-        times = trainer.updates[rows]
-        values = trainer.weights[rows] * times[:, None]
+            found = contexts(known.hashes[at], starts)
+            of, digits = classes[known.forms[at]], word_digits(known.hashes[at], bits)
+            before = prefixes(of, digits)
+            for i in range(0, len(at), 64 * BATCH):
+                part = slice(i, i + 64 * BATCH)
+                trainer.learn(class_features(found[part]), of[part])
+                for level, digit in enumerate(digits):
+                    given = before[level][part]
+                    words.learn(word_features(found[part], level, given), digit[part], priors[level], given)
+        updates = np.concatenate([trainer.updates, words.updates])
+        rows = np.flatnonzero(updates)
+        times = updates[rows]
+        new_squares = np.concatenate([trainer.squares, words.squares])[rows]
+        values = np.concatenate([trainer.weights, words.weights])[rows] * times[:, None]
         for i in range(0, len(rows), 4096):
             part = slice(i, i + 4096)
-            arrays = [pa.array(rows[part]), pa.array(times[part]), pa.array(trainer.squares[rows[part]] * times[part])]
+            arrays = [pa.array(rows[part]), pa.array(times[part]), pa.array(new_squares[part] * times[part])]
             yield pa.RecordBatch.from_arrays(
                 arrays + [pa.array(values[part, c]) for c in range(CLASSES)], ["row", "times", "squares", *columns]
             )
@@ -274,8 +362,7 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     found = corpus.where("word IS NULL").select("cell", "n").toArrow()
     cells[found["cell"].to_numpy()] = found["n"].to_numpy()
     model = Model(head, form_classes(cells.reshape(FORMS, -1)), int(size[0]), int(size[1]))
-    model.class_totals = _class_totals(counts, model.classes)
-    model.weights[BUCKETS - 1] = np.log(model.class_totals / model.class_totals.sum())
+    model.set_totals(_bucket_totals(counts, model.classes, model.bits))
     for part in range(ROUNDS):
         _round(model, _training(docs, part))
     return model, counts
@@ -289,20 +376,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     model, counts = fit(docs)
     kind = docs.schema["id"].dataType.simpleString()
-    head, classes, weights = model.head, model.classes, model.weights
-    share = np.log10(model.class_totals)
+    head, classes = model.head, model.classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(head)
         for batch in slices(batches, "text"):
             at, starts = known.numbers(texts_of(batch, "text"))
             of = classes[known.forms[at]]
-            log_class = np.empty(len(at))
-            buckets = features(known.hashes[at], starts)
-            for i in range(0, len(at), BATCH):
-                part = class_log_probabilities(weights, buckets[i : i + BATCH])
-                log_class[i : i + BATCH] = part[np.arange(len(part)), of[i : i + BATCH]]
-            contextual = np.add.reduceat(log_class / np.log(10) - share[of], starts) if len(starts) else np.empty(0)
+            digits = word_digits(known.hashes[at], model.bits)
+            logs = model.log_probabilities(known.hashes[at], starts, of, digits) / np.log(10)
+            contextual = np.add.reduceat(logs - np.log10(model.totals[prefixes(of, digits)[-1]]), starts) if len(starts) else np.empty(0)
             n = known.counts[at]
             common = n >= 0
             logs = np.add.reduceat(np.where(common, np.log10(np.maximum(n, 0) + 1), 0), starts) if len(starts) else np.empty(0)
