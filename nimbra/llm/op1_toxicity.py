@@ -25,8 +25,6 @@ from nimbra.llm.op8_quality_classifier import training_rows
 
 #: Bound of the labelled rows that are learned from (expected count).
 TRAIN_ROWS = 20_000
-#: Bound of the lexicon and of the words known to be no misspellings.
-LEXICON = 4096
 #: A term occurs in so many toxic documents, and in so few others.
 LEAST_TOXIC_DOCUMENTS = 3
 LEAST_TOXIC_SHARE = 0.8
@@ -47,7 +45,7 @@ ADDRESS = frozenset("you your you're du dein deine ihr tu ton ta toi vous usted
 
 
 def allowed_edits(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 4 else 1 if len(term) < 9 else 2
 
 
 class Levenshtein:
@@ -85,10 +83,11 @@ class Levenshtein:
 class Lexicon:
     """Terms with weights, in a trie, and a filter of the words that may be near one."""
 
-    def __init__(self, weights: dict[str, float], known: frozenset[str] = frozenset()):
+    def __init__(self, weights: dict[str, float], known: frozenset[str] = frozenset(), swaps: bool = False):
+        """``known`` words are no misspellings; with ``swaps``, two neighbouring letters may be swapped."""
         import ahocorasick
 
-        self.weights, self.known = weights, known
+        self.weights, self.known, self.swaps = weights, known, swaps
         self.trie: dict = {}
         parts: dict[str, set[tuple[int, int]]] = {}
         for term in weights:
@@ -119,10 +118,12 @@ class Lexicon:
         """The term that a word is or misspells, and the edits: the fewest, then the largest weight."""
         if word in self.weights:
             return word, 0
-        if len(word) < 4 or word in self.known or not self.any_parts or not self._near(word):
+        if word in self.known or not self.any_parts:
             return None
+        best = self._swapped(word) if self.swaps else None
+        if not self._near(word):
+            return (best[2], best[0]) if best else None
         automaton = Levenshtein(word, 2 if len(word) >= 7 else 1)
-        best: tuple[int, float, str] | None = None
         open_nodes = [(self.trie, automaton.start())]
         while open_nodes:
             node, state = open_nodes.pop()
@@ -138,6 +139,11 @@ class Lexicon:
                         open_nodes.append((child, after))
         return (best[2], best[0]) if best else None
 
+    def _swapped(self, word: str) -> tuple[int, float, str] | None:
+        """The best term that a swap of two neighbouring letters gives, as one edit."""
+        swaps = (word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1))
+        return min(((1, -self.weights[t], t) for t in swaps if t in self.weights and allowed_edits(t)), default=None)
+
 
 class Scanner:
     """Finds hits in texts, remembering words."""
@@ -189,7 +195,7 @@ class Model:
         self.weights, self.known, self.coefficients = weights, known, coefficients
 
     def scanner(self) -> Scanner:
-        return Scanner(Lexicon(self.weights, frozenset(self.known)))
+        return Scanner(Lexicon(self.weights, frozenset(self.known), swaps=True))
 
     def score(self, features: list[float]) -> float:
         value = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], features, strict=True))
@@ -239,34 +245,29 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     odds = F.log((F.col("bad") + 0.5) / toxic) - F.log((F.col("n") - F.col("bad") + 0.5) / (n - toxic))
     terms = (
         stats.where((F.col("bad") >= LEAST_TOXIC_DOCUMENTS) & (F.col("bad") >= LEAST_TOXIC_SHARE * F.col("n")))
-        .where(F.length("word") >= 4)
         .select("word", odds.alias("weight"))
-        .orderBy(F.desc("weight"), "word")
-        .limit(LEXICON)
         .collect()
     )
     weights = {row["word"]: float(row["weight"]) for row in terms}
 
     def misspelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(weights)
+        lexicon = Lexicon(weights, swaps=True)
         for batch in batches:
             words = batch.column(0).to_pylist()
             near = pa.array([w not in weights and lexicon.match(w) is not None for w in words], pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns], batch.schema.names)
 
-    # words near a term that other documents use are words of their own; the commonest of them are kept
+    # words near a term that other documents use are words of their own
     known = [
         row["word"]
         for row in stats.select("word", "bad", "n")
         .where(F.col("bad") < 0.5 * F.col("n"))
         .mapInArrow(misspelt, "word string, bad bigint, n bigint")
-        .orderBy(F.desc("n"), "word")
-        .limit(LEXICON)
         .collect()
     ]
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(Lexicon(weights, frozenset(known)))
+        scanner = Scanner(Lexicon(weights, frozenset(known), swaps=True))
         for batch in batches:
             made = [scanner.features(text or "") for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
