@@ -74,16 +74,16 @@ def to_silver(readings: DataFrame, tolerant: bool = False) -> DataFrame:
     return flagged(readings, tolerant=tolerant).where(kept)
 
 
-def rejects(readings: DataFrame, tolerant: bool = False) -> DataFrame:
-    """Readings that Silver leaves out, counted per city-day with their reasons.
+def rejects(readings: DataFrame, tolerant: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Readings that Silver leaves out, counted per city-day (and ``carried``) with their reasons.
 
     Silver and these counts add up to the readings. The date of readings without a
     readable time is null.
     """
     return (
-        flagged(readings, tolerant=tolerant)
+        flagged(readings, *carried, tolerant=tolerant)
         .where((F.col("data_quality_flag") == "BAD") | F.col("observation_date").isNull())
-        .groupBy("city_name", "observation_date")
+        .groupBy(*carried, "city_name", "observation_date")
         .agg(
             F.count("*").alias("rejected"),
             F.count_if(F.col("temperature_2m").isNull()).alias("no_temperature"),

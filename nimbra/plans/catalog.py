@@ -41,7 +41,7 @@ from nimbra.sources.bronze import (
 )
 from nimbra.sources.cities import configuration_text, configured_cities, read_cities
 from nimbra.sources.readings import document_readings, hourly_readings
-from nimbra.streaming.ingest import stream_daily
+from nimbra.streaming.ingest import stream_daily, stream_quarantine as quarantine_of_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,8 +160,22 @@ def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT DISTINCT {PARTITION_SQL}, document FROM r) q GROUP BY ALL""")
 def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some documents of the landing are cut off in the middle."""
+    bronze = read_bronze(spark, landed_broken(spark, sf_dir))
+    good = good_documents(bronze).select(*BRONZE_PARTITIONS, F.lit(1).alias("good"))
+    bad = malformed_documents(bronze).select(*BRONZE_PARTITIONS, F.lit(0).alias("good"))
+    return good.unionByName(bad).groupBy(*BRONZE_PARTITIONS).agg(
+        F.count_if(F.col("good") == 1).alias("good_documents"),
+        F.count_if(F.col("good") == 0).alias("malformed_documents"),
+    )
+
+
+def landed_broken(spark: SparkSession, sf_dir: str, whole: bool = False) -> str:
+    """A landing in which every seventh document is cut off in the middle, and landed
+    ``whole`` as well if asked for."""
     text = F.to_json(F.struct(*[f.name for f in BRONZE.fields]))
-    line = F.when(F.col("document") % 7 == 3, F.left(text, F.length(text) / 2)).otherwise(text)
+    cut = F.left(text, F.length(text) / 2)
+    lines = F.array(cut, text) if whole else F.array(cut)
+    line = F.explode(F.when(F.col("document") % 7 == 3, lines).otherwise(F.array(text)))
     root = new_folder(spark, "bronze")
     (
         documents_of(spark, sf_dir)
@@ -169,13 +183,7 @@ def bronze_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.partitionBy(*BRONZE_PARTITIONS)
         .text(root)
     )
-    bronze = read_bronze(spark, root)
-    good = good_documents(bronze).select(*BRONZE_PARTITIONS, F.lit(1).alias("good"))
-    bad = malformed_documents(bronze).select(*BRONZE_PARTITIONS, F.lit(0).alias("good"))
-    return good.unionByName(bad).groupBy(*BRONZE_PARTITIONS).agg(
-        F.count_if(F.col("good") == 1).alias("good_documents"),
-        F.count_if(F.col("good") == 0).alias("malformed_documents"),
-    )
+    return root
 
 
 @query(f"""{DOCUMENTS} SELECT city, year, month, day, COUNT(*) AS documents
@@ -790,3 +798,33 @@ def stream_daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     stream.awaitTermination()
     return lake.daily.read(spark)
+
+
+QUARANTINE = f"""{DOCUMENTS} SELECT d AS landed_date, city_name AS city, COUNT(*) AS malformed
+FROM (SELECT DISTINCT d, city_name, document FROM r) q WHERE document % 7 = 3 GROUP BY ALL"""
+
+
+def _malformed_counts(malformed: DataFrame) -> DataFrame:
+    return malformed.groupBy("landed_date", "city").agg(F.count("*").alias("malformed"))
+
+
+@query(QUARANTINE)
+def run_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over a landing with broken documents stores them; no date is without a good one."""
+    lake = Lakehouse.at(new_folder(spark, "lake"))
+    run_range(
+        spark, landed_broken(spark, sf_dir, whole=True), lake, configured_cities(spark), dt.date(2024, 1, 1),
+        dt.date(2024, 1, 30), AS_OF, require_coverage=False,
+    )
+    return _malformed_counts(lake.malformed.read(spark))
+
+
+@query(QUARANTINE)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream stores the broken documents of each batch."""
+    lake = Lakehouse.at(new_folder(spark, "lake"))
+    quarantine_of_stream(
+        spark, landed_broken(spark, sf_dir), lake, new_folder(spark, "stream"), files_per_batch=100
+    ).awaitTermination()
+    stored = spark.read.schema(lake.malformed.schema).parquet(f"{lake.malformed.root}/stream/*")
+    return _malformed_counts(stored)

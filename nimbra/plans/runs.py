@@ -18,13 +18,14 @@ from nimbra.operators.silver import (
     document_city_days,
     explode_hours,
     kept_rows,
+    rejects,
     to_silver,
 )
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
 from nimbra.scratch import new_folder
 from nimbra.sources.bronze import (
     good_documents,
-    landed_files,
+    malformed_documents,
     read_bronze,
     write_bronze,
 )
@@ -32,17 +33,21 @@ from nimbra.sources.tables import (
     SlicedTable,
     gold_daily_table,
     gold_events_table,
+    malformed_table,
+    rejects_table,
     silver_table,
 )
 
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """The Silver and Gold tables under one root."""
+    """The Silver, Gold and quarantine tables under one root."""
 
     silver: SlicedTable
     daily: SlicedTable
     events: SlicedTable
+    malformed: SlicedTable
+    rejects: SlicedTable
 
     @staticmethod
     def at(root: str, gold_slices: str = "yyyy-MM") -> Lakehouse:
@@ -51,6 +56,8 @@ class Lakehouse:
             silver_table(root),
             gold_daily_table(root, gold_slices),
             gold_events_table(root, gold_slices),
+            malformed_table(root),
+            rejects_table(root),
         )
 
     def create_views(self, spark: SparkSession) -> None:
@@ -172,6 +179,40 @@ def run_gold(
     upsert_events(spark, lake.events, events, (start, end) if prune_stale else None)
 
 
+def landed_date() -> Column:
+    """The date of a document's folder."""
+    return F.concat_ws("-", "year", "month", "day").cast("date").alias("landed_date")
+
+
+def malformed_rows(bronze: DataFrame) -> DataFrame:
+    return malformed_documents(bronze).select(landed_date(), "city", "document")
+
+
+def reject_rows(documents: DataFrame) -> DataFrame:
+    """Counts of rejected readings; one without a readable time is counted, not an error."""
+    dated = documents.withColumn("landed_date", landed_date())
+    return rejects(explode_hours(dated, "landed_date"), tolerant=True, carried=("landed_date",))
+
+
+def run_quarantine(
+    spark: SparkSession, lake: Lakehouse, bronze: DataFrame, start: dt.date, end: dt.date
+) -> DataFrame:
+    """Store what is no document and what Silver leaves out; their counts per landed date.
+
+    The dates of the range are replaced, so a rerun after a repair clears them.
+    """
+    days = [str(start + dt.timedelta(days=i)) for i in range((end - start).days + 1)]
+    lake.malformed.replace(spark, malformed_rows(bronze), days)
+    lake.rejects.replace(spark, reject_rows(good_documents(bronze)), days)
+    malformed = lake.malformed.read(spark, start, end).groupBy("landed_date").agg(F.count("*").alias("malformed"))
+    rejected = lake.rejects.read(spark, start, end).groupBy("landed_date").agg(F.sum("rejected").alias("rejected"))
+    return malformed.join(rejected, "landed_date", "full").select(
+        F.col("landed_date").alias("expected_date"),
+        F.coalesce("malformed", F.lit(0)).alias("malformed"),
+        F.coalesce("rejected", F.lit(0)).alias("rejected"),
+    )
+
+
 def run_range(
     spark: SparkSession,
     bronze_root: str,
@@ -188,14 +229,16 @@ def run_range(
     """Bronze to Gold for every city and date of the range, in one set of jobs.
 
     Fails when a city-date (a city, without ``require_coverage``) has no document
-    or a date has no Gold row; returns the status of each date.
+    that parses or a date has no Gold row; returns the status of each date, with the
+    documents and readings that went to the quarantine tables before the gates.
     """
-    documents = good_documents(read_bronze(spark, bronze_root, start, end, multi_line=multi_line))
-    files = landed_files(spark, bronze_root, start, end)
+    bronze = read_bronze(spark, bronze_root, start, end, multi_line=multi_line)
+    documents = good_documents(bronze)
+    quarantined = run_quarantine(spark, lake, bronze, start, end)
     if require_coverage:
-        coverage = gates.city_date_coverage(cities, files, start, end)
+        coverage = gates.city_date_coverage(cities, documents, start, end)
     else:
-        coverage = gates.city_coverage(cities, files)
+        coverage = gates.city_coverage(cities, documents)
     gates.require_no_failure(coverage, "missing documents")
     run_silver(spark, lake, documents)
     run_gold(spark, lake, start, end, as_of, prune_stale)
@@ -203,7 +246,7 @@ def run_range(
         lake.daily.read(spark, start, end), gates.date_grid(spark, start, end), cities.count()
     )
     gates.require_no_failure(status, "dates without Gold rows")
-    return status
+    return status.join(quarantined, "expected_date", "left").fillna(0, ["malformed", "rejected"])
 
 
 def run_daily(
@@ -221,7 +264,8 @@ def run_backfill(
 ) -> DataFrame:
     """The ``days`` full days before today; warns through the total row count."""
     start, end = gates.date_range(today, days)
-    run_range(spark, bronze_root, lake, cities, start, end, today, **options)
+    status = run_range(spark, bronze_root, lake, cities, start, end, today, **options)
     total = gates.gold_total_status(lake.daily.read(spark), days * cities.count())
     gates.require_no_failure(total, "Gold is empty")
-    return total
+    quarantined = status.agg(F.sum("malformed").alias("malformed"), F.sum("rejected").alias("rejected")).first()
+    return total.withColumns({name: F.lit(n) for name, n in quarantined.asDict().items()})

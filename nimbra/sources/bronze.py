@@ -90,9 +90,13 @@ def good_documents(bronze: DataFrame) -> DataFrame:
 
 
 def malformed_documents(bronze: DataFrame) -> DataFrame:
-    """Quarantine: the text of what is no document, with its partition."""
+    """Quarantine: the text of what is no document, with its partition.
+
+    What parses but names no city is written as JSON again.
+    """
+    parsed = F.to_json(F.struct(*[f.name for f in BRONZE.fields if f.name in bronze.columns]))
     return bronze.where(~_is_document()).select(
-        *BRONZE_PARTITIONS, F.col(CORRUPT_COLUMN).alias("document")
+        *BRONZE_PARTITIONS, F.coalesce(F.col(CORRUPT_COLUMN), parsed).alias("document")
     )
 
 

@@ -21,6 +21,11 @@ from pyspark.sql import types as T
 from nimbra.schemas import GOLD_DAILY, GOLD_EVENTS, SILVER, struct
 
 SLICE = "slice"
+MALFORMED = struct(landed_date="date", city="string", document="string")
+REJECTS = struct(
+    landed_date="date", city_name="string", observation_date="date", rejected="bigint",
+    no_temperature="bigint", no_humidity="bigint", no_wind="bigint", no_time="bigint",
+)
 _LOG = struct(sequence="bigint", slice="string", version="string", filled="boolean")
 
 
@@ -178,3 +183,13 @@ def gold_events_table(root: str, slice_format: str = "yyyy-MM") -> SlicedTable:
         f"{root}/gold_extreme_events", GOLD_EVENTS, "event_date", slice_format,
         ("event_date", "city_name"),
     )
+
+
+def malformed_table(root: str) -> SlicedTable:
+    """What is no document, with its text; one slice per date of the landing."""
+    return SlicedTable(f"{root}/quarantine_malformed", MALFORMED, "landed_date", "yyyy-MM-dd", ("city",))
+
+
+def rejects_table(root: str) -> SlicedTable:
+    """Counts of the readings that Silver leaves out; one slice per date of the landing."""
+    return SlicedTable(f"{root}/quarantine_rejects", REJECTS, "landed_date", "yyyy-MM-dd", ("city_name",))

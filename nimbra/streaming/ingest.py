@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from nimbra.operators.daily import to_daily
 from nimbra.operators.silver import explode_hours, to_silver
-from nimbra.plans.runs import Lakehouse, upsert_daily
+from nimbra.plans.runs import Lakehouse, malformed_rows, reject_rows, upsert_daily
 from nimbra.schemas import CORRUPT_COLUMN, GOLD_DAILY, bronze_read_schema
 from nimbra.sources.bronze import good_documents
 
@@ -21,7 +21,7 @@ def read_landing(
     files_per_batch: int | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Documents as their files appear, read as ``read_bronze`` reads them.
+    """Documents, and what is none, as their files appear, read as ``read_bronze`` reads them.
 
     A file is read once per path: a document overwritten at its old path is
     not seen again, so restatements need the batch run.
@@ -35,7 +35,37 @@ def read_landing(
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return good_documents(reader.json(root))
+    return reader.json(root)
+
+
+def stream_quarantine(
+    spark: SparkSession,
+    landing: str,
+    lake: Lakehouse,
+    checkpoint: str,
+    *,
+    files_per_batch: int | None = None,
+    multi_line: bool = False,
+) -> StreamingQuery:
+    """Store what is no document and what Silver leaves out, until the landing is drained.
+
+    Each batch has a folder of its own in ``stream`` of the quarantine tables, which a
+    repeated batch overwrites; so a lake has one checkpoint.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        for table, rows in (
+            (lake.malformed, malformed_rows(batch)), (lake.rejects, reject_rows(good_documents(batch))),
+        ):
+            rows.write.mode("overwrite").parquet(f"{table.root}/stream/batch={number}")
+
+    return (
+        read_landing(spark, landing, files_per_batch, multi_line)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def stream_daily(
@@ -55,9 +85,12 @@ def stream_daily(
     of a city-day may come in different batches; each batch upserts the
     city-days it changed. A batch that is repeated after a failure upserts the same
     rows again. City-days older than ``lateness`` leave the state; documents that
-    come later than that belong to a batch run.
+    come later than that belong to a batch run. The quarantine is drained first.
     """
-    silver = to_silver(explode_hours(read_landing(spark, landing, files_per_batch, multi_line)))
+    options = {"files_per_batch": files_per_batch, "multi_line": multi_line}
+    stream_quarantine(spark, landing, lake, f"{checkpoint}-quarantine", **options).awaitTermination()
+    documents = good_documents(read_landing(spark, landing, **options))
+    silver = to_silver(explode_hours(documents))
     # A watermark needs a zone-aware time; the day goes back to a date below.
     dated = silver.withColumn("observation_date", F.col("observation_date").cast("timestamp_ltz"))
     summary = to_daily(dated.withWatermark("observation_date", lateness), as_of)
