@@ -3,17 +3,38 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import partial
 
 from nimbra.llm.chunks import ChunkEncoder
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
+class LibraryEncoder(ChunkEncoder):
+    """Texts that hold the content of an added token are encoded whole, as the library does."""
 
+    def __init__(self, encode_matches, encode_any, added: list[str]):
+        super().__init__(encode_matches, encode_any)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
 
-def library_encoder(path: str) -> ChunkEncoder:
-    """The encoder of a byte-level BPE file, one for each Python worker. Strings of
-    special tokens in a text are ordinary text; no special tokens are added."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        special = [] if self.added is None else [i for i, text in enumerate(texts) if self.added.search(text)]
+        if not special:
+            return super().encode(texts)
+        plain = list(texts)
+        for i in special:
+            plain[i] = ""
+        out = super().encode(plain)
+        for i, ids in zip(special, self.encode_any([texts[i] for i in special]), strict=True):
+            out[i] = ids
+        return out
+
+
+_ENCODERS: dict[str, LibraryEncoder] = {}
+
+
+def library_encoder(path: str) -> LibraryEncoder:
+    """The encoder of a byte-level BPE file, one for each Python worker. Added tokens in a
+    text are found as the library finds them; no others are added."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
@@ -21,7 +42,6 @@ def library_encoder(path: str) -> ChunkEncoder:
         whole, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
         # strings that the pattern matches whole need no splitting
         single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        whole.encode_special_tokens = single.encode_special_tokens = True
 
         def encode(tokenizer: Tokenizer, pieces: list[str]) -> list[bytes]:
             out: list[bytes] = []
@@ -30,7 +50,9 @@ def library_encoder(path: str) -> ChunkEncoder:
                 out.extend(array("I", encoding.ids).tobytes() for encoding in found)
             return out
 
-        _ENCODERS[path] = ChunkEncoder(partial(encode, single), partial(encode, whole))
+        _ENCODERS[path] = LibraryEncoder(
+            partial(encode, single), partial(encode, whole), [t.content for t in whole.get_added_tokens_decoder().values()]
+        )
     return _ENCODERS[path]
 
 
