@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nimbra.fixed_values import UNKNOWN_CONDITION, WEATHER_CONDITIONS
-from nimbra.functions.exact import exact_avg, exact_sum, round_half_away
+from nimbra.functions.exact import EXACT, round_half_away
 from nimbra.functions.weather import comfort_score
 from nimbra.schemas import GOLD_DAILY
 
@@ -41,106 +42,139 @@ _LABELS = sorted([label for label, _ in WEATHER_CONDITIONS] + [UNKNOWN_CONDITION
 _COUNT_STEP, _TOP_VALUE = 1 << 32, (1 << 31) - 1
 
 
-def _measures() -> dict[str, Column]:
-    temperature, humidity = F.col("temperature_2m"), F.col("relative_humidity_2m")
-    return {
-        "mean_temperature": exact_avg(temperature),
-        "highest": F.max(temperature),
-        "lowest": F.min(temperature),
-        "mean_apparent": exact_avg(F.col("apparent_temperature")),
-        "mean_humidity": F.sum(humidity) / F.nullif(F.count(humidity), F.lit(0).cast("bigint")),
-        "max_humidity": F.max(humidity),
-        "min_humidity": F.min(humidity),
-        "precipitation": exact_sum(F.col("precipitation")),
-        "rain": exact_sum(F.col("rain")),
-        "mean_wind": exact_avg(F.col("wind_speed_10m")),
-        "wind": F.max("wind_speed_10m"),
-        **{f"code of {k}": v for k, v in _lowest_code_by_condition().items()},
-        "uv": F.max("uv_index"),
-        "mean_uv": exact_avg(F.col("uv_index")),
-        "record_count": F.count("*").cast("int"),
-    }
+#: Columns of Silver that are added up as decimals.
+_SUMMED = [
+    "temperature_2m", "apparent_temperature", "precipitation", "rain", "wind_speed_10m", "uv_index",
+]
+_EXTREMES = {
+    "highest": (F.max, "temperature_2m"),
+    "lowest": (F.min, "temperature_2m"),
+    "max_humidity": (F.max, "relative_humidity_2m"),
+    "min_humidity": (F.min, "relative_humidity_2m"),
+    "wind": (F.max, "wind_speed_10m"),
+    "uv": (F.max, "uv_index"),
+}
+
+
+def _partials() -> dict[str, tuple[Column, Callable]]:
+    """Columns of a partial summary: how readings give it, and how several of them are merged."""
+    humidity = F.col("relative_humidity_2m")
+    states = {"records": (F.count("*"), F.sum)}
+    for name in _SUMMED:
+        states[f"sum of {name}"] = F.sum(F.col(name).cast(EXACT)), F.sum
+        states[f"values of {name}"] = F.count(name), F.sum
+    states["sum of humidity"] = F.sum(humidity.cast("bigint")), F.sum
+    states["values of humidity"] = F.count(humidity), F.sum
+    for name, (extreme, column) in _EXTREMES.items():
+        states[name] = extreme(column), extreme
+    for label, code in _lowest_code_by_condition().items():
+        states[f"code of {label}"] = code, F.min
+    for i, label in enumerate(_LABELS):
+        states[f"count {i}"] = F.count_if(F.col("weather_condition") == label), F.sum
+    return states
+
+
+PARTIAL_KEYS = [*GROUP, "wind_direction_10m"]
+
+
+def partial_summaries(silver: DataFrame, *carried: str) -> DataFrame:
+    """What a summary needs of its readings, per city-day, wind direction and ``carried``.
+
+    Rows of any split of the readings can be merged by ``summary_of_partials``, so a
+    document that is restated replaces its own rows and nothing else is read again.
+    """
+    readings = silver.where(F.col("data_quality_flag") != "BAD").withColumnRenamed(
+        "observation_date", "weather_date"
+    )
+    return readings.groupBy(*PARTIAL_KEYS, *carried).agg(
+        *[state.alias(name) for name, (state, _) in _partials().items()]
+    )
 
 
-def _stream_summary(readings: DataFrame) -> DataFrame:
-    """One aggregate, as a stream allows; it counts every direction and condition of a city-day."""
-    return readings.groupBy(*GROUP).agg(
-        *[measure.alias(name) for name, measure in _measures().items()],
-        F.mode("wind_direction_10m", True).alias("dominant_wind_direction"),
-        F.mode("weather_condition", True).alias("dominant_condition"),
-    )
+def _merged(partials: DataFrame, *keys: str, **more: Column) -> DataFrame:
+    merges = [merge(F.col(f"`{name}`")).alias(name) for name, (_, merge) in _partials().items()]
+    return partials.groupBy(*keys).agg(*merges, *[c.alias(name) for name, c in more.items()])
+
 
+def _mean(name: str) -> Column:
+    values = F.nullif(F.col(f"values of {name}"), F.lit(0).cast("bigint"))
+    return F.col(f"sum of {name}").cast("double") / values
 
-def _batch_summary(readings: DataFrame) -> DataFrame:
-    """Hash aggregates over plain numbers only.
 
-    Conditions are a fixed list, so each has a counter. Directions are counted in a
-    narrow aggregate of their own, whose best count and direction, in one integer,
-    joins the summary. Both sides are grouped by the columns of the join, which are
-    made free of nulls for it (a value and whether it is null), so the join moves nothing.
+def _summary(partials: DataFrame) -> DataFrame:
+    """City-days of partial summaries, one row for each city-day and direction.
+
+    Conditions are a fixed list, so each has a counter. The best direction is the
+    greatest count, then the least value, in one integer.
     """
-    kinds = {f.name: f.dataType for f in readings.schema.fields}
-    blank = {name: "1970-01-01" if name == "weather_date" else "" for name in GROUP}
-    parts = {f"null {name}": F.col(name).isNull() for name in GROUP} | {
-        f"key {name}": F.coalesce(F.col(name), F.lit(blank[name]).cast(kinds[name])) for name in GROUP
-    }
-    keyed = readings.withColumns(parts)
-    counters = [
-        F.count_if(F.col("weather_condition") == label).alias(f"count {i}") for i, label in enumerate(_LABELS)
-    ]
-    summary = keyed.groupBy(*parts).agg(
-        *[measure.alias(name) for name, measure in _measures().items()], *counters
-    )
+    place = F.col("records") * _COUNT_STEP + (_TOP_VALUE - F.col("wind_direction_10m").cast("bigint"))
+    merged = _merged(partials, *GROUP, best=F.max(place))
     most = F.greatest(*[F.col(f"count {i}") * len(_LABELS) + i for i in range(len(_LABELS))])
     labels = F.array(*[F.lit(label) for label in _LABELS])
-    counted = (
-        keyed.where(F.col("wind_direction_10m").isNotNull())
-        .groupBy(*parts, "wind_direction_10m")
-        .agg(F.count("*").alias("n"))
-    )
-    best = counted.groupBy(*parts).agg(
-        F.max(F.col("n") * _COUNT_STEP + (_TOP_VALUE - F.col("wind_direction_10m").cast("bigint"))).alias("best")
-    )
-    return summary.join(best, list(parts), "left").withColumns(
+    return merged.withColumns(
         {
             "dominant_condition": F.get(labels, (most % len(_LABELS)).cast("int")),
             "dominant_wind_direction": (_TOP_VALUE - F.col("best") % _COUNT_STEP).cast("int"),
-            **{name: F.when(~F.col(f"null {name}"), F.col(f"key {name}")) for name in GROUP},
         }
     )
 
 
+def _stream_summary(silver: DataFrame) -> DataFrame:
+    """One aggregate, as a stream allows; it counts every direction and condition of a city-day."""
+    readings = silver.where(F.col("data_quality_flag") != "BAD").withColumnRenamed(
+        "observation_date", "weather_date"
+    )
+    return readings.groupBy(*GROUP).agg(
+        *[state.alias(name) for name, (state, _) in _partials().items()],
+        F.mode("wind_direction_10m", True).alias("dominant_wind_direction"),
+        F.mode("weather_condition", True).alias("dominant_condition"),
+    )
+
+
+def summary_of_partials(
+    partials: DataFrame, as_of: dt.date, run_date: dt.date | None = None
+) -> DataFrame:
+    """Daily summary of stored partial summaries, whatever they were split by."""
+    return _finished(_summary(_merged(partials, *PARTIAL_KEYS)), as_of, run_date)
+
+
 def to_daily(silver: DataFrame, as_of: dt.date, run_date: dt.date | None = None) -> DataFrame:
-    """Daily summary of every city-day in ``silver`` (all 27 columns).
+    """Daily summary of every city-day in ``silver`` (all 27 columns), in one scan.
 
-    Rows are combined per city-day in the input tasks; what is shuffled is one
-    partial row per city-day and task, and one count per direction, whatever the
-    size of the city-day. A batch reads ``silver`` twice, the second time only the
-    grouping columns and the direction.
+    Hash aggregates over plain numbers, first per city-day and wind direction, then per
+    city-day. Both combine rows in the input tasks; what is shuffled is one partial row
+    for each direction of a city-day and task, whatever the size of the city-day.
 
     ``as_of`` stamps the audit dates. A range of days carries each day's own
     date as run date unless ``run_date`` is given.
     """
-    readings = silver.where(F.col("data_quality_flag") != "BAD").withColumnRenamed(
-        "observation_date", "weather_date"
-    )
-    summary = _stream_summary(readings) if silver.isStreaming else _batch_summary(readings)
+    summary = _stream_summary(silver) if silver.isStreaming else _summary(partial_summaries(silver))
+    return _finished(summary, as_of, run_date)
+
+
+def _finished(summary: DataFrame, as_of: dt.date, run_date: dt.date | None) -> DataFrame:
     run = F.lit(run_date) if run_date else F.col("weather_date")
+    measures = {
+        "mean_temperature": _mean("temperature_2m"),
+        "mean_humidity": _mean("humidity"),
+        "precipitation": F.col("sum of precipitation").cast("double"),
+        "record_count": F.col("records").cast("int"),
+    }
     rounded = {
         "avg_temperature": F.col("mean_temperature"),
         "max_temperature": F.col("highest"),
         "min_temperature": F.col("lowest"),
-        "avg_apparent_temperature": F.col("mean_apparent"),
+        "avg_apparent_temperature": _mean("apparent_temperature"),
         "avg_humidity": F.col("mean_humidity"),
         "total_precipitation": F.col("precipitation"),
-        "total_rain": F.col("rain"),
-        "avg_wind_speed": F.col("mean_wind"),
+        "total_rain": F.col("sum of rain").cast("double"),
+        "avg_wind_speed": _mean("wind_speed_10m"),
         "max_wind_speed": F.col("wind"),
         "max_uv_index": F.col("uv"),
-        "avg_uv_index": F.col("mean_uv"),
+        "avg_uv_index": _mean("uv_index"),
         "temperature_range": F.col("highest") - F.col("lowest"),
     }
-    return summary.withColumns(
+    return summary.withColumns(measures).withColumns(
         {
             **{name: round_half_away(x, 2) for name, x in rounded.items()},
             # A day without any precipitation value is a day without rain.

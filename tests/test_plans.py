@@ -55,7 +55,12 @@ def test_daily_summary_is_hash_aggregates(spark):
     documents = frame_of(spark, document())
     plan = plan_of(to_daily(silver_ops.to_silver(silver_ops.explode_hours(documents)), AS_OF))
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
-    assert plan.count("hashpartitioning") == 3  # the summary; directions and the best of them
+    assert plan.count("hashpartitioning") == 2  # directions of a city-day, then the city-day
+
+
+def test_daily_summary_scans_once_and_joins_nothing(spark):
+    plan = plan_of(to_daily(silver_ops.to_silver(hourly_readings(spark, SF_DIR)), AS_OF))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
 def test_no_numbering_over_a_whole_city_day(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pathlib
+import time
 
 import duckdb
 import pytest
@@ -13,6 +14,9 @@ from tools.check_queries import rows_of
 
 SF_DIR = pathlib.Path("/root/testdata/sf0.001")
 
+#: The optimizer must not be what a query waits for.
+SECONDS_TO_PLAN = 5
+
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="provided tables are absent")
 
 
@@ -31,6 +35,9 @@ def test_every_query_has_its_sql():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     frame = QUERIES[name](spark, str(SF_DIR))
+    began = time.perf_counter()
+    frame._jdf.queryExecution().optimizedPlan()
+    assert time.perf_counter() - began < SECONDS_TO_PLAN
     answer = duck.execute(ORACLES[name])
     columns = [d[0] for d in answer.description]
     assert sorted(frame.columns) == sorted(columns)
