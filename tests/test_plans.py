@@ -58,8 +58,10 @@ def test_daily_summary_is_hash_aggregates(spark):
     assert plan.count("hashpartitioning") == 2  # directions of a city-day, then the city-day
 
 
-def test_daily_summary_scans_once_and_joins_nothing(spark):
-    plan = plan_of(to_daily(silver_ops.to_silver(hourly_readings(spark, SF_DIR)), AS_OF))
+def test_daily_summary_scans_once_and_joins_nothing(spark, tmp_path):
+    documents = frame_of(spark, document())
+    silver_ops.to_silver(silver_ops.explode_hours(documents)).write.parquet(f"{tmp_path}/silver")
+    plan = plan_of(to_daily(spark.read.parquet(f"{tmp_path}/silver"), AS_OF))
     assert plan.count("FileScan") == 1 and "Join" not in plan
 
 
