@@ -17,6 +17,9 @@ from nimbra.llm import (
     op8_quality_classifier,
     op9_neighbours,
     op10_packing,
+    op11_merkle,
+    op12_exact_dedup,
+    op13_prefix_trie,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,9 +33,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier.query,
     "op9_nearest_neighbours": op9_neighbours.query,
     "op10_packing": op10_packing.query,
+    "op11_merkle": op11_merkle.query,
+    "op12_exact_dedup": op12_exact_dedup.query,
+    "op13_prefix_trie": op13_prefix_trie.query,
 }
 #: DuckDB SQL of those that SQL can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
     "op6_quality_rules": op6_quality_rules.ORACLE,
     "op9_nearest_neighbours": op9_neighbours.ORACLE,
+    "op11_merkle": op11_merkle.ORACLE,
+    "op12_exact_dedup": op12_exact_dedup.ORACLE,
+    "op13_prefix_trie": op13_prefix_trie.ORACLE,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from nimbra.scratch import new_folder
 
@@ -18,6 +18,9 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 #: Texts are handled in slices of about this many bytes, whatever an Arrow batch holds.
 SLICE_BYTES = 8 << 20
 
+#: Rows of a range of a sorted table, about.
+ROWS_OF_PART = 500_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -77,3 +80,35 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
+
+
+def ranked(df: DataFrame, group: str, order: list[str], rank: str, size: str) -> DataFrame:
+    """Adds the place of every row within its ``group`` (from 0, nulls first; rows that tie
+    in ``order`` take some order among them) and the rows of the group.
+
+    Rows are dealt to ranges of (group, order), so a group of any size spreads over tasks;
+    only counts by range and group are added up. The columns ``part`` and ``at`` are used up.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_OF_PART))
+    keys = [group, *order]
+    place = F.monotonically_increasing_id()
+    sorted_rows = materialize(
+        df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumns(
+            {"part": F.shiftright(place, 33), "at": place.bitwiseAND((1 << 33) - 1)}
+        ),
+        "ranked",
+    )
+    before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = sorted_rows.groupBy(group, "part").agg(F.count("*").alias("rows"), F.min("at").alias("first"))
+    ranges = counts.select(
+        F.col(group).alias("range group"),
+        F.col("part").alias("range part"),
+        (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first")).alias("offset"),
+        F.sum("rows").over(Window.partitionBy(group)).alias(size),
+    )
+    same = F.col(group).eqNullSafe(F.col("range group")) & (F.col("part") == F.col("range part"))
+    return (
+        sorted_rows.join(ranges, same, "left")
+        .withColumn(rank, F.col("at") + F.col("offset"))
+        .drop("part", "at", "range group", "range part", "offset")
+    )
