@@ -258,9 +258,13 @@ def trie(conversations: DataFrame, turns_of_block: int = TURNS_OF_BLOCK) -> Data
     )
     found = materialize(ordered.groupBy("part").cogroup(edges.groupBy("part")).applyInArrow(_block, _FOUND), "trie-blocks")
 
-    nodes = found.groupBy("node", "parent", "depth").agg(
-        F.min("conv_id").alias("conv_id"),
-        *[F.sum(name).alias(name) for name in ("n_convs", "n_children", "n_leaves", "saved_tokens")],
+    # a table, as Spark splits the many children of one parent only in a join of tables
+    nodes = materialize(
+        found.groupBy("node", "parent", "depth").agg(
+            F.min("conv_id").alias("conv_id"),
+            *[F.sum(name).alias(name) for name in ("n_convs", "n_children", "n_leaves", "saved_tokens")],
+        ),
+        "trie-nodes",
     )
     ends = found.where(F.col("ends").isNotNull()).select("node", "part", "ends")
     ends = ends.repartition("node").sortWithinPartitions("node", "part")
