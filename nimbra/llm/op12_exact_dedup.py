@@ -74,12 +74,14 @@ def classes(
         "dedup-hashes",
     )
     several = hashed.where(F.col("full").isNotNull())
-    groups = (
+    # A table of groups, one row each: between two tables Spark splits the rows of a large
+    # group over tasks, which it does not where an aggregate stands below the join.
+    groups = materialize(
         several.groupBy("length", "full")
         .agg(F.count("*").alias("group_size"), F.max(F.struct("id", "row")).alias("top"))
-        .where("group_size > 1")
+        .where("group_size > 1"),
+        "dedup-groups",
     )
-    # groups have a row each, so a large one is only ever split, never gathered
     joined = several.join(groups, ["length", "full"], "left")
     alone = hashed.where(F.col("full").isNull()).withColumns(
         {"group_size": F.lit(None).cast("bigint"), "top": F.struct("id", "row")}
