@@ -43,7 +43,6 @@ def lower_ascii(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-_ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: str.split() also splits at other Unicode spaces, so it may only be used where none occur.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SPACES = re.compile(WORD_SPACE)
@@ -58,7 +57,9 @@ def words_of(text: str) -> list[str]:
 
 def lower(text: str) -> str:
     """A-Z to a-z, nothing else."""
-    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
+    if text.isascii():
+        return text.lower()
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # of bytes: ASCII alone
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:

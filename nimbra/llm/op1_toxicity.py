@@ -1,18 +1,18 @@
 """Toxicity: terms of a learned lexicon, misspelled ones too, scored in their context.
 
 The lexicon is learned from labelled documents: words that occur almost only in toxic
-ones. It is kept as a trie. A word's Levenshtein automaton, which accepts what lies
-within some edits of it, is intersected with the trie: both are walked together and a
-branch ends where the automaton has no state left. Before that, parts of the terms
-sort out most words: a term cut into one part more than the edits it allows keeps one
-part whole. Hits are weighed by a window of words around them: quotation marks and
+ones. A word's Levenshtein automaton, which accepts what lies within some edits of it, is
+intersected with the trie of the lexicon: both are walked together and a branch ends where
+the automaton has no state left. An index names the branches that a word can be near at
+all, none for most words, so the walk is short. Hits are weighed by a window of words around them: quotation marks and
 verbs of reporting speak for quotation, direct address for abuse.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +32,10 @@ WINDOW = 6
 FOLDS = 5
 THRESHOLD = 0.5
 SEED = 1
-KEPT_WORDS = 500_000
+#: Letters of the texts whose words are looked up together.
+LEARN_LETTERS = 4_000_000
+#: Letters of the words that a Python worker remembers before it starts anew.
+KEPT_LETTERS = 16_000_000
 
 EDGES = " \t.,;:!?…\"'`´“”„‘’‚«»‹›()[]{}<>|*#$%&+=~^_/\\-–—0123456789"
 OPENING, CLOSING = "\"'“„‘‚«‹", "\"'”“’‘»›"
@@ -80,51 +83,92 @@ class Levenshtein:
         return state[-1][1] if state and state[-1][0] == len(self.word) else None
 
 
+#: Longer terms are filtered by their parts, shorter ones by what is left without some letters.
+LONGEST_SHORTENED = 20
+
+
+def _shortened(word: str, edits: int) -> set[str]:
+    """The word, and what is left of it without up to ``edits`` letters."""
+    out = last = {word}
+    for _ in range(edits):
+        last = {w[:i] + w[i + 1 :] for w in last for i in range(len(w))}
+        out = out | last
+    return out
+
+
+def trie_of(terms: Iterable[str]) -> dict:
+    trie: dict = {}
+    for term in terms:
+        node = trie
+        for letter in term:
+            node = node.setdefault(letter, {})
+        node[""] = term
+    return trie
+
+
 class Lexicon:
-    """Terms with weights, in a trie, and a filter of the words that may be near one."""
+    """Terms with weights, and an index of the branches of their trie that a word may be near.
+
+    A word near a term has in common with it what is left of both without as many letters as
+    there are edits; a swap of neighbours is found so too. Of a long term, one part in three
+    stands whole in the word, nearly at its place. Lengths differ by the edits at most. What
+    the index names is a trie of few branches; the automaton of the word decides on it.
+    """
 
     def __init__(self, weights: dict[str, float], known: frozenset[str] = frozenset(), swaps: bool = False):
         """``known`` words are no misspellings; with ``swaps``, two neighbouring letters may be swapped."""
         import ahocorasick
 
         self.weights, self.known, self.swaps = weights, known, swaps
-        self.trie: dict = {}
-        parts: dict[str, set[tuple[int, int]]] = {}
+        self.shortened: dict[int, dict[str, list[str]]] = {1: {}, 2: {}}
+        self.lengths: dict[int, set[int]] = {1: set(), 2: set()}
+        parts: dict[str, list[tuple[int, str]]] = {}
         for term in weights:
-            node = self.trie
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node[""] = term
             edits = allowed_edits(term)
-            if edits:
-                cuts = [len(term) * p // (edits + 1) for p in range(edits + 2)]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    parts.setdefault(term[a:b], set()).add((a, edits))
+            if not edits:
+                continue
+            if len(term) <= LONGEST_SHORTENED:
+                for short in _shortened(term, edits):
+                    self.shortened[edits].setdefault(short, []).append(term)
+                self.lengths[edits].update(range(len(term) - edits, len(term) + edits + 1))
+                continue
+            cuts = [len(term) * p // (edits + 1) for p in range(edits + 2)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                parts.setdefault(term[a:b], []).append((a, term))
         self.parts = ahocorasick.Automaton()
         for part, places in parts.items():
             self.parts.add_word(part, (len(part), tuple(places)))
         if parts:
             self.parts.make_automaton()
-        self.any_parts = bool(parts)
-
-    def _near(self, word: str) -> bool:
-        for last, (size, places) in self.parts.iter(word):
-            start = last - size + 1
-            if any(abs(start - place) <= edits for place, edits in places):
-                return True
-        return False
+        self.least_long = min((len(term) for places in parts.values() for _, term in places), default=math.inf) - 2
+
+    def _near(self, word: str) -> set[str]:
+        """Terms that the word may be near; most words have none."""
+        out: set[str] = set()
+        n = len(word)
+        for edits, lengths in self.lengths.items():
+            if n in lengths:
+                index = self.shortened[edits]
+                for short in index.keys() & _shortened(word, edits):
+                    out.update(index[short])
+        if n >= self.least_long:
+            for last, (size, places) in self.parts.iter(word):
+                start = last - size + 1
+                out.update(t for place, t in places if abs(start - place) <= 2 and abs(n - len(t)) <= 2)
+        return out
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The term that a word is or misspells, and the edits: the fewest, then the largest weight."""
         if word in self.weights:
             return word, 0
-        if word in self.known or not self.any_parts:
+        if word in self.known:
+            return None
+        near = self._near(word)
+        if not near:
             return None
         best = self._swapped(word) if self.swaps else None
-        if not self._near(word):
-            return (best[2], best[0]) if best else None
-        automaton = Levenshtein(word, 2 if len(word) >= 7 else 1)
-        open_nodes = [(self.trie, automaton.start())]
+        automaton = Levenshtein(word, max(map(allowed_edits, near)))
+        open_nodes = [(trie_of(near), automaton.start())]
         while open_nodes:
             node, state = open_nodes.pop()
             for letter, child in node.items():
@@ -145,25 +189,104 @@ class Lexicon:
         return min(((1, -self.weights[t], t) for t in swaps if t in self.weights and allowed_edits(t)), default=None)
 
 
+_BASE = 0x100000001B3
+_BACK = np.uint64(pow(_BASE, -1, 1 << 64))
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_BITS = 25
+
+
+def _places(values: np.ndarray) -> np.ndarray:
+    return ((values * _MIX) >> np.uint64(64 - _BITS)).astype(np.int64)
+
+
+class Sieve:
+    """Marks at hashes of shortened terms: words without a mark are near no term.
+
+    Hashes are polynomials in the letters, so those of a word without a letter or two come
+    from its prefix sums, for all words of one length at once.
+    """
+
+    def __init__(self, lexicon: Lexicon):
+        self.lengths, self.least_long = lexicon.lengths, lexicon.least_long
+        self.marks = np.zeros(1 << _BITS, bool)
+        by_length: dict[int, list[str]] = {}
+        for index in lexicon.shortened.values():
+            for short in index:
+                by_length.setdefault(len(short), []).append(short)
+        for n, shorts in by_length.items():
+            self.marks[_places(self._sums(shorts, n)[n])] = True
+
+    @staticmethod
+    def _sums(words: list[str], n: int) -> list[np.ndarray]:
+        """For each place, the sum over the letters before it of letter times base to its place."""
+        letters = np.array(words, f"<U{max(n, 1)}").view(np.uint32).reshape(len(words), -1)
+        sums, power = [np.zeros(len(words), np.uint64)], 1
+        for k in range(n):
+            sums.append(sums[-1] + (letters[:, k].astype(np.uint64) + np.uint64(1)) * np.uint64(power))
+            power = power * _BASE % (1 << 64)
+        return sums
+
+    def _of_length(self, words: list[str], n: int) -> np.ndarray:
+        sums = self._sums(words, n)
+        found = self.marks[_places(sums[n])]
+        for i in range(n):
+            found |= self.marks[_places(sums[i] + _BACK * (sums[n] - sums[i + 1]))]
+        if n in self.lengths[2]:
+            for i in range(n):
+                for j in range(i + 1, n):
+                    rest = _BACK * (sums[j] - sums[i + 1] + _BACK * (sums[n] - sums[j + 1]))
+                    found |= self.marks[_places(sums[i] + rest)]
+        return found
+
+    def near(self, words: list[str]) -> np.ndarray:
+        """Whether a word may be near a term; never false for one that is."""
+        out = np.zeros(len(words), bool)
+        by_length: dict[int, list[int]] = {}
+        for at, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(at)
+        for n, members in by_length.items():
+            if n >= self.least_long:
+                out[members] = True
+            elif n in self.lengths[1] or n in self.lengths[2]:
+                out[members] = self._of_length([words[at] for at in members], n)
+        return out
+
+
 class Scanner:
     """Finds hits in texts, remembering words."""
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon = lexicon
+        self.lexicon, self.sieve = lexicon, Sieve(lexicon)
         self.seen: dict[str, tuple[str, int] | None] = {}
+        self.letters = 0
+
+    def learn(self, texts: Iterable[list[str]]) -> None:
+        """Look up the words of several texts together."""
+        if self.letters > KEPT_LETTERS:
+            self.seen.clear()
+            self.letters = 0
+        new = list(set().union(*texts).difference(self.seen))
+        if not new:
+            return
+        self.letters += sum(map(len, new))
+        bare = [word.strip(EDGES) for word in new]
+        found = self.seen
+        found.update(dict.fromkeys(new))
+        terms, match = self.lexicon.weights, self.lexicon.match
+        near = self.sieve.near(bare)
+        for word, core, may in zip(new, bare, near.tolist(), strict=True):
+            if may or core in terms:
+                found[word] = match(core)
 
     def hits(self, words: list[str]) -> list[tuple[int, str, int, bool, int, int]]:
         """(position, term, edits, quoted, reporting words near, words of address near)."""
-        seen = self.seen
-        new = {word for word in words if word not in seen}
-        if new:
-            if len(seen) > KEPT_WORDS:
-                seen.clear()
-                new = set(words)
-            for word in new:
-                seen[word] = self.lexicon.match(word.strip(EDGES))
+        try:
+            matches = list(map(self.seen.__getitem__, words))
+        except KeyError:
+            self.learn([words])
+            matches = list(map(self.seen.__getitem__, words))
         out = []
-        for at, found in enumerate(map(seen.__getitem__, words)):
+        for at, found in enumerate(matches):
             if found is not None:
                 before, after = words[max(0, at - WINDOW) : at + 1], words[at : at + WINDOW + 1]
                 quoted = any(w[0] in OPENING for w in before) and any(w.rstrip(".,;:!?")[-1:] in CLOSING and w.rstrip(".,;:!?") for w in after)
@@ -171,9 +294,22 @@ class Scanner:
                 out.append((at, *found, quoted, sum(w in REPORTING for w in near), sum(w in ADDRESS for w in near)))
         return out
 
+    def all_hits(self, texts: list[str | None]) -> Iterator[tuple[list[str], list[tuple]]]:
+        """The words and the hits of each text, a few texts at a time (null: empty)."""
+        cut, letters = [], 0
+        for at, text in enumerate(texts):
+            cut.append(words_of(lower(text or "")))
+            letters += len(text or "")
+            if letters >= LEARN_LETTERS or at + 1 == len(texts):
+                self.learn(cut)
+                yield from ((words, self.hits(words)) for words in cut)
+                cut, letters = [], 0
+
     def features(self, text: str) -> list[float]:
-        words = words_of(lower(text))
-        return self.measures(words, self.hits(words))
+        return self.all_features([text])[0]
+
+    def all_features(self, texts: list[str | None]) -> list[list[float]]:
+        return [self.measures(words, hits) for words, hits in self.all_hits(texts)]
 
     def measures(self, words: list[str], hits: list[tuple]) -> list[float]:
         open_hits = [h for h in hits if not (h[3] or h[4])]
@@ -188,14 +324,20 @@ class Scanner:
 
 
 N_FEATURES = 7
+_SCANNERS: dict[str, Scanner] = {}
 
 
 class Model:
     def __init__(self, weights: dict[str, float], known: list[str], coefficients: list[float]):
         self.weights, self.known, self.coefficients = weights, known, coefficients
+        self.token = uuid.uuid4().hex
 
     def scanner(self) -> Scanner:
-        return Scanner(Lexicon(self.weights, frozenset(self.known), swaps=True))
+        """One for each Python worker, which remembers the words of its earlier tasks."""
+        if self.token not in _SCANNERS:
+            _SCANNERS.clear()
+            _SCANNERS[self.token] = Scanner(Lexicon(self.weights, frozenset(self.known), swaps=True))
+        return _SCANNERS[self.token]
 
     def score(self, features: list[float]) -> float:
         value = self.coefficients[0] + sum(c * x for c, x in zip(self.coefficients[1:], features, strict=True))
@@ -252,9 +394,12 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     def misspelt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(weights, swaps=True)
+        sieve = Sieve(lexicon)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            near = pa.array([w not in weights and lexicon.match(w) is not None for w in words], pa.bool_())
+            may = sieve.near(words).tolist()
+            near = [m and w not in weights and lexicon.match(w) is not None for m, w in zip(may, words, strict=True)]
+            near = pa.array(near, pa.bool_())
             yield pa.RecordBatch.from_arrays([c.filter(near) for c in batch.columns], batch.schema.names)
 
     # words near a term that other documents use are words of their own
@@ -269,7 +414,7 @@ def fit(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(Lexicon(weights, frozenset(known), swaps=True))
         for batch in batches:
-            made = [scanner.features(text or "") for text in batch.column(0).to_pylist()]
+            made = scanner.all_features(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
     rest = held.where("draw >= 0.75").select("text", "label").mapInArrow(measured, "x array<double>, label int").toArrow()
@@ -293,13 +438,14 @@ _HITS = ArrayType(
 
 
 def scores(model: Model, text: Column) -> Column:
-    """Scores of a text column (null: empty): 0 to 1, higher where toxic is likelier."""
+    """Scores of a text column (null: empty): 0 to 1, higher where toxic is likelier. A score
+    depends on the text alone, so repeated rows get the same one and null ids do not matter."""
 
     @F.pandas_udf(DoubleType())
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = model.scanner()
         for texts in batches:
-            yield pd.Series([model.score(scanner.features(t or "")) for t in texts], dtype="float64")
+            yield pd.Series([model.score(x) for x in scanner.all_features(list(texts))], dtype="float64")
 
     return score(text)
 
@@ -311,7 +457,7 @@ def spans(model: Model, text: Column) -> Column:
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = model.scanner()
         for texts in batches:
-            hits = [scanner.hits(words_of(lower(t or ""))) for t in texts]
+            hits = [hits for _, hits in scanner.all_hits(list(texts))]
             yield pd.Series([[{"position": h[0], "term": h[1], "edits": h[2], "quoted": h[3]} for h in hh] for hh in hits])
 
     return found(text)
