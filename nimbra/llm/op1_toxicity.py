@@ -35,7 +35,7 @@ SEED = 1
 #: Letters of the texts whose words are looked up together.
 LEARN_LETTERS = 4_000_000
 #: Letters of the words that a Python worker remembers before it starts anew.
-KEPT_LETTERS = 16_000_000
+KEPT_LETTERS = 8_000_000
 
 EDGES = " \t.,;:!?…\"'`´“”„‘’‚«»‹›()[]{}<>|*#$%&+=~^_/\\-–—0123456789"
 OPENING, CLOSING = "\"'“„‘‚«‹", "\"'”“’‘»›"
