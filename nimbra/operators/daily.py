@@ -7,11 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbra.fixed_values import UNKNOWN_CONDITION, WEATHER_CONDITIONS
 from nimbra.functions.exact import EXACT, round_half_away
 from nimbra.functions.weather import comfort_score
-from nimbra.schemas import GOLD_DAILY
+from nimbra.schemas import GOLD_DAILY, SILVER
 
 KEYS = ["city_name", "weather_date"]
 
@@ -77,6 +78,24 @@ def _partials() -> dict[str, tuple[Column, Callable]]:
 PARTIAL_KEYS = [*GROUP, "wind_direction_10m"]
 
 
+def partial_schema(*carried: str) -> T.StructType:
+    """Columns of stored partial summaries; ``carried`` ones are text."""
+    kinds = {f.name: f.dataType for f in SILVER.fields} | {"weather_date": T.DateType()}
+    fields = [T.StructField(name, kinds[name]) for name in PARTIAL_KEYS]
+    fields += [T.StructField(name, T.StringType()) for name in carried]
+    for name in _partials():
+        if name in _EXTREMES:
+            kind = kinds[_EXTREMES[name][1]]
+        elif name.startswith("code of "):
+            kind = kinds["weather_code"]
+        elif name.startswith("sum of ") and name != "sum of humidity":
+            kind = T.DecimalType(38, 10)
+        else:
+            kind = T.LongType()
+        fields.append(T.StructField(name, kind))
+    return T.StructType(fields)
+
+
 def partial_summaries(silver: DataFrame, *carried: str) -> DataFrame:
     """What a summary needs of its readings, per city-day, wind direction and ``carried``.
 
@@ -119,18 +138,6 @@ def _summary(partials: DataFrame) -> DataFrame:
     )
 
 
-def _stream_summary(silver: DataFrame) -> DataFrame:
-    """One aggregate, as a stream allows; it counts every direction and condition of a city-day."""
-    readings = silver.where(F.col("data_quality_flag") != "BAD").withColumnRenamed(
-        "observation_date", "weather_date"
-    )
-    return readings.groupBy(*GROUP).agg(
-        *[state.alias(name) for name, (state, _) in _partials().items()],
-        F.mode("wind_direction_10m", True).alias("dominant_wind_direction"),
-        F.mode("weather_condition", True).alias("dominant_condition"),
-    )
-
-
 def summary_of_partials(
     partials: DataFrame, as_of: dt.date, run_date: dt.date | None = None
 ) -> DataFrame:
@@ -148,8 +155,7 @@ def to_daily(silver: DataFrame, as_of: dt.date, run_date: dt.date | None = None)
     ``as_of`` stamps the audit dates. A range of days carries each day's own
     date as run date unless ``run_date`` is given.
     """
-    summary = _stream_summary(silver) if silver.isStreaming else _summary(partial_summaries(silver))
-    return _finished(summary, as_of, run_date)
+    return _finished(_summary(partial_summaries(silver)), as_of, run_date)
 
 
 def _finished(summary: DataFrame, as_of: dt.date, run_date: dt.date | None) -> DataFrame:
@@ -193,3 +199,30 @@ def condition_counts(silver: DataFrame) -> DataFrame:
     return silver.groupBy("city_name", "observation_date", "weather_condition").agg(
         F.count("*").alias("condition_count")
     )
+
+
+#: Directions that a sketch counts exactly: there are 360.
+SKETCHED = 1024
+
+
+def wind_sketches(silver: DataFrame) -> DataFrame:
+    """A frequent-items sketch of the wind directions of every city-day, to be stored and
+    combined over any span of days without reading the readings again."""
+    kept = silver.where((F.col("data_quality_flag") != "BAD") & F.col("wind_direction_10m").isNotNull())
+    sketch = F.call_function("approx_top_k_accumulate", F.col("wind_direction_10m"), F.lit(SKETCHED))
+    return kept.groupBy("city_name", F.col("observation_date").alias("weather_date")).agg(sketch.alias("directions"))
+
+
+def dominant_wind(sketches: DataFrame, *keys: str | Column) -> DataFrame:
+    """The direction with the greatest count of all sketches of a group, the least one on a
+    tie, and that count. Exact while a group has no more directions than a sketch holds."""
+    combined = F.call_function("approx_top_k_combine", F.col("directions"), F.lit(SKETCHED))
+    found = F.call_function("approx_top_k_estimate", F.col("combined"), F.lit(SKETCHED))
+    places = F.transform(found, lambda x: F.struct(x["count"].alias("n"), (-x["item"]).alias("minus")))
+    return (
+        sketches.groupBy(*keys)
+        .agg(combined.alias("combined"))
+        .withColumn("best", F.array_max(places))
+        .withColumns({"dominant_wind_direction": (-F.col("best.minus")).cast("int"), "hours": F.col("best.n")})
+        .drop("combined", "best")
+    )

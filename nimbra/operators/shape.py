@@ -61,16 +61,58 @@ def _with_series_at(responses: DataFrame, positions: str) -> DataFrame:
     return responses.withColumn("hourly", F.struct(*[cut(v) for v in SERIES])).drop(positions)
 
 
+def _dates() -> Column:
+    return F.transform("hourly.time", lambda t: F.substring(t, 1, 10))
+
+
+def in_date_order(responses: DataFrame) -> DataFrame:
+    """Hours in the order of their dates, and of their positions within a date; a response
+    that is in order already, as they all should be, is only looked at."""
+    def entry(date: Column, i: Column) -> Column:
+        return F.struct(date.alias("date"), i.alias("i"))
+
+    order = F.transform(F.array_sort(F.transform("dates", entry)), lambda x: x["i"])
+
+    def put(variable: str) -> Column:
+        series = F.col(f"hourly.{variable}")
+        moved = F.transform(order, lambda i: F.get(series, i))
+        return F.when(series.isNotNull(), moved).alias(variable)
+
+    dated = responses.withColumn("dates", _dates())
+    in_order = F.col("dates") == F.sort_array("dates")
+    moved = F.when(in_order, F.struct(*[F.col(f"hourly.{v}").alias(v) for v in SERIES])).otherwise(
+        F.struct(*[put(v) for v in SERIES])
+    )
+    return dated.withColumn("hourly", moved).withColumn("dates", F.sort_array("dates"))
+
+
 def split_daily(responses: DataFrame) -> DataFrame:
     """One document per local date of each response, with its partition keys.
 
-    Works inside the row: a response is cut where it is read, with no shuffle.
+    Works inside the row, in time that grows with the hours: each date is a run of the
+    ordered hours, and every series is cut by start and length of the runs. A response is
+    cut where it is read, with no shuffle. Hours without a time form a document of their
+    own, without a date.
     """
-    dates = F.array_distinct(F.transform("hourly.time", lambda t: F.substring(t, 1, 10)))
-    dated = responses.withColumn("pipeline_run_date", F.explode(dates)).withColumn(
-        "positions", _positions(F.col("pipeline_run_date"))
-    )
-    return with_partition_keys(_with_series_at(dated, "positions"))
+    n = F.size("dates")
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    begins = F.filter(every, lambda i: ~F.get("dates", i).eqNullSafe(F.get("dates", i - 1)) | (i == 0))
+    runs = in_date_order(responses).withColumn("begins", begins)
+
+    def cut(begin: Column, k: Column) -> Column:
+        length = F.coalesce(F.get("begins", k + 1), n) - begin
+
+        def of(variable: str) -> Column:
+            series = F.col(f"hourly.{variable}")
+            return F.when(series.isNotNull(), F.slice(series, begin + 1, length)).alias(variable)
+
+        date = F.get("dates", begin).alias("pipeline_run_date")
+        return F.struct(date, F.struct(*[of(v) for v in SERIES]).alias("hourly"))
+
+    # the cuts are exploded, not the runs: a row takes its own hours along, not all of them
+    kept = [c for c in responses.columns if c not in ("hourly", "pipeline_run_date")]
+    split = runs.select(*kept, F.explode(F.transform("begins", cut)).alias("cut"))
+    return with_partition_keys(split.select(*kept, "cut.pipeline_run_date", "cut.hourly"))
 
 
 def keep_date(responses: DataFrame, run_date: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,14 @@ from nimbra.operators import gates, shape
 from nimbra.operators import silver as silver_ops
 from nimbra.operators import upsert
 from nimbra.operators.daily import KEYS as DAILY_KEYS
-from nimbra.operators.daily import condition_counts, to_daily
+from nimbra.operators.daily import (
+    condition_counts,
+    dominant_wind,
+    partial_summaries,
+    summary_of_partials,
+    to_daily,
+    wind_sketches,
+)
 from nimbra.operators.events import to_events, to_events_multilabel
 from nimbra.plans import oracle as sql
 from nimbra.plans import reports
@@ -23,6 +31,7 @@ from nimbra.plans.runs import (
     run_daily,
     run_range,
     run_silver,
+    store_partials,
     store_silver,
     upsert_daily,
     upsert_events,
@@ -37,6 +46,7 @@ from nimbra.sources.bronze import (
     landed_files,
     malformed_documents,
     read_bronze,
+    register_bronze,
     write_bronze,
 )
 from nimbra.sources.cities import configuration_text, configured_cities, read_cities
@@ -794,7 +804,7 @@ def stream_daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = landed(spark, documents_of(spark, sf_dir))
     stream = stream_daily(
         spark, landing, lake, new_folder(spark, "stream"), AS_OF,
-        files_per_batch=100, lateness="60 days",
+        files_per_batch=100,
     )
     stream.awaitTermination()
     return lake.daily.read(spark)
@@ -828,3 +838,136 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     stored = spark.read.schema(lake.malformed.schema).parquet(f"{lake.malformed.root}/stream/*")
     return _malformed_counts(stored)
+
+
+@query(f"{DOCUMENT_GOLD} SELECT * FROM g")
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest week lands and is drained first; what comes weeks late is in Gold too."""
+    lake = Lakehouse.at(new_folder(spark, "lake"))
+    documents, checkpoint = documents_of(spark, sf_dir), new_folder(spark, "stream")
+    late = F.col("day") < "24"
+    landing = landed(spark, documents.where(~late))
+    stream_daily(spark, landing, lake, checkpoint, AS_OF).awaitTermination()
+    write_bronze(documents.where(late), landing)
+    stream_daily(spark, landing, lake, checkpoint, AS_OF).awaitTermination()
+    return lake.daily.read(spark)
+
+
+# --- Runs with the strict gate -----------------------------------------------------
+
+JANUARY = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+
+
+def whole_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all city-days of the range: without an event, one hour without values."""
+    documents = documents_of(spark, sf_dir)
+    grid = configured_cities(spark).select(
+        F.col("name").alias("city_name"), F.col("display_name").alias("city_display_name"), "country",
+        "latitude", "longitude", "timezone", F.lit("2024-02-01T06:00:00").alias("ingestion_timestamp"),
+        F.explode(F.sequence(F.lit(JANUARY[0]), F.lit(JANUARY[1])).cast("array<string>")).alias("pipeline_run_date"),
+    )
+    nothing = F.array(F.lit(None).cast("double"))
+    hourly = F.struct(
+        F.array(F.concat("pipeline_run_date", F.lit("T00:00"))).alias("time"),
+        *[nothing.alias(v) for v in HOURLY_VARIABLES],
+    )
+    kinds = {f.name: f.dataType for f in documents.schema.fields}
+    silent = grid.join(documents, ["city_name", "pipeline_run_date"], "left_anti").withColumn("hourly", hourly)
+    silent = shape.with_partition_keys(as_documents(silent))
+    return documents.drop("document").unionByName(
+        silent.select(*[F.col(c).cast(kinds[c]).alias(c) for c in documents.columns if c != "document"])
+    )
+
+
+@query(f"{DOCUMENT_GOLD} SELECT * FROM g")
+def run_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that wants a document of every city and date, over a landing that has them."""
+    lake = Lakehouse.at(new_folder(spark, "lake"))
+    bronze = landed(spark, whole_landing(spark, sf_dir))
+    run_range(spark, bronze, lake, configured_cities(spark), *JANUARY, AS_OF)
+    return lake.daily.read(spark)
+
+
+@query(f"""{DOCUMENTS}, k AS (SELECT DISTINCT city_name, d FROM r WHERE NOT (city_name = 'london' AND d = DATE '2024-01-15'))
+SELECT c.city_name AS city, expected_date, CAST(0 AS BIGINT) AS documents, 'FAIL' AS status,
+  CAST(0 AS BIGINT) AS gold_rows
+FROM {sql.CITIES} CROSS JOIN (SELECT CAST(range AS DATE) AS expected_date
+  FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) q
+WHERE c.city_name = 'london' AND expected_date = DATE '2024-01-15'
+  AND NOT EXISTS (SELECT 1 FROM k WHERE k.city_name = c.city_name AND k.d = expected_date)""")
+def run_strict_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One city-day has not landed: the run stops before Silver and says which."""
+    lake, cities = Lakehouse.at(new_folder(spark, "lake")), configured_cities(spark)
+    missing = (F.col("city") == "london") & (F.col("pipeline_run_date") == "2024-01-15")
+    bronze = landed(spark, whole_landing(spark, sf_dir).where(~missing))
+    try:
+        run_range(spark, bronze, lake, cities, *JANUARY, AS_OF)
+        raise AssertionError("the gate let a missing city-day pass")
+    except gates.GateFailed:
+        pass
+    found = gates.city_date_coverage(cities, good_documents(read_bronze(spark, bronze, *JANUARY)), *JANUARY)
+    stored = lake.silver.read(spark).count() + lake.daily.read(spark).count()
+    return found.where(F.col("status") == "FAIL").withColumn("gold_rows", F.lit(stored).cast("bigint"))
+
+
+# --- SQL tables ----------------------------------------------------------------------
+
+
+@query(f"{TWO_DAILY} {sql.merged_daily('g1', 'g2')}")
+def sql_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog tables are made before anything is stored, and follow two upserts."""
+    database = f"nimbra_{uuid.uuid4().hex}"
+    lake = Lakehouse.at(new_folder(spark, "lake"), database=database)
+    lake.create_tables(spark)
+    for batch in two_daily_batches(spark, sf_dir):
+        upsert_daily(spark, lake.daily, batch)
+    return spark.sql(f"SELECT * FROM {database}.gold_daily_summary").drop("slice")
+
+
+@query(f"""{DOCUMENTS} SELECT city, year, month, day, COUNT(*) AS documents
+FROM (SELECT DISTINCT {PARTITION_SQL}, document FROM r) q WHERE document % 7 <> 3 GROUP BY ALL""")
+def sql_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL view of a landing holds its documents alone."""
+    database = f"nimbra_{uuid.uuid4().hex}"
+    register_bronze(spark, database, "bronze", landed_broken(spark, sf_dir))
+    return spark.sql(
+        f"SELECT city, year, month, day, COUNT(*) AS documents FROM {database}.bronze_documents GROUP BY ALL"
+    )
+
+
+# --- Gold from stored parts ------------------------------------------------------------
+
+RESTATED = (
+    DOCUMENTS
+    + sql.changed("r2", "r", uv_index="CASE WHEN document % 5 = 0 THEN uv_index + 1 ELSE uv_index END")
+    + sql.silver("s2", "r2")
+    + sql.gold("g2", "s2")
+)
+
+
+@query(f"{RESTATED} SELECT * FROM g2")
+def gold_from_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth document is restated: its partial summaries are replaced, and Gold is merged
+    from the stored ones; no other reading is read again."""
+    lake, documents = Lakehouse.at(new_folder(spark, "lake")), documents_of(spark, sf_dir)
+
+    def store(of: DataFrame) -> None:
+        named = of.withColumn("document", F.col("document").cast("string"))
+        readings = silver_ops.flagged(silver_ops.explode_hours(named, "document"), "document")
+        store_partials(spark, lake.partials, partial_summaries(readings, "document"), named)
+
+    store(documents)
+    raised = F.transform("hourly.uv_index", lambda v: v + 1)
+    store(documents.where(F.col("document") % 5 == 0).withColumn("hourly", F.col("hourly").withField("uv_index", raised)))
+    return summary_of_partials(lake.partials.read(spark), AS_OF)
+
+
+@query(f"""{SILVER}, w AS (SELECT city_name, CAST(date_trunc('week', observation_date) AS DATE) AS week,
+  wind_direction_10m, COUNT(*) AS n FROM s WHERE wind_direction_10m IS NOT NULL GROUP BY ALL)
+SELECT city_name, week, wind_direction_10m AS dominant_wind_direction, n AS hours FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY city_name, week ORDER BY n DESC, wind_direction_10m) AS place FROM w) q
+WHERE place = 1""")
+def gold_wind_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly dominant wind from stored sketches of the city-days."""
+    daily = written(spark, wind_sketches(silver_of(spark, sf_dir)), "sketches")
+    return dominant_wind(daily, "city_name", F.trunc("weather_date", "week").alias("week"))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from nimbra.fixed_values import BACKFILL_DAYS
+from nimbra.fixed_values import BACKFILL_DAYS, HOURS_PER_DAY
 from nimbra.operators import daily as daily_ops
 from nimbra.operators import gates, shape
 from nimbra.operators.daily import to_daily
@@ -22,18 +22,15 @@ from nimbra.operators.silver import (
     to_silver,
 )
 from nimbra.operators.upsert import merge_daily, merge_events, require_unique
+from nimbra.schemas import BRONZE, CORRUPT_COLUMN
 from nimbra.scratch import new_folder
-from nimbra.sources.bronze import (
-    good_documents,
-    malformed_documents,
-    read_bronze,
-    write_bronze,
-)
+from nimbra.sources.bronze import read_bronze, write_bronze
 from nimbra.sources.tables import (
     SlicedTable,
     gold_daily_table,
     gold_events_table,
     malformed_table,
+    partials_table,
     rejects_table,
     silver_table,
 )
@@ -48,17 +45,29 @@ class Lakehouse:
     events: SlicedTable
     malformed: SlicedTable
     rejects: SlicedTable
+    partials: SlicedTable
 
     @staticmethod
-    def at(root: str, gold_slices: str = "yyyy-MM") -> Lakehouse:
-        """``gold_slices``: the part of a date that names a slice of the Gold tables."""
-        return Lakehouse(
+    def at(root: str, gold_slices: str = "yyyy-MM", database: str | None = None) -> Lakehouse:
+        """``gold_slices``: the part of a date that names a slice of the Gold tables;
+        ``database``: where ``create_tables`` makes them catalog tables."""
+        tables = (
             silver_table(root),
             gold_daily_table(root, gold_slices),
             gold_events_table(root, gold_slices),
             malformed_table(root),
             rejects_table(root),
+            partials_table(root),
         )
+        if database:
+            tables = [replace(t, catalog_name=f"{database}.{t.root.rpartition('/')[2]}") for t in tables]
+        return Lakehouse(*tables)
+
+    def create_tables(self, spark: SparkSession) -> None:
+        """Create database and tables for SQL users if absent. From then on every commit points
+        their partitions to the new version, so a query sees the current rows."""
+        for table in (self.silver, self.daily, self.events, self.malformed, self.rejects):
+            table.create_table(spark)
 
     def create_views(self, spark: SparkSession) -> None:
         """Current tables as temporary views for SQL users."""
@@ -155,6 +164,21 @@ def upsert_events(
     table.replace(spark, rows, months)
 
 
+def store_partials(
+    spark: SparkSession, table: SlicedTable, partials: DataFrame, restated: DataFrame
+) -> None:
+    """Replace partial summaries of the documents in ``restated`` (city_name, document): their
+    old rows go, also on dates that they no longer hold; other documents keep theirs."""
+    restated = written(spark, restated.select("city_name", "document").distinct(), "restated")
+    partials = written(spark, partials, "partials")
+    old = table.read(spark).join(restated, ["city_name", "document"], "left_semi")
+    slices = sorted({*table.slices_in(partials), *table.slices_in(old)})
+    kept = table.read_slices(spark, slices)
+    if kept is not None:
+        partials = partials.unionByName(kept.join(restated, ["city_name", "document"], "left_anti"))
+    table.replace(spark, partials, slices)
+
+
 def run_silver(
     spark: SparkSession, lake: Lakehouse, documents: DataFrame, tolerant: bool = False
 ) -> None:
@@ -184,8 +208,46 @@ def landed_date() -> Column:
     return F.concat_ws("-", "year", "month", "day").cast("date").alias("landed_date")
 
 
-def malformed_rows(bronze: DataFrame) -> DataFrame:
-    return malformed_documents(bronze).select(landed_date(), "city", "document")
+def staged_landing(spark: SparkSession, bronze: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """What landed, parsed once: a table of documents by ``outcome`` and the counts of each.
+
+    Outcomes: ``good``; ``malformed``, what does not parse; ``no_city``, what names none;
+    ``no_hours``, a document without its hourly block. All but the good ones carry their text.
+    The counts are observed while the table is written.
+    """
+    parsed = F.to_json(F.struct(*[f.name for f in BRONZE.fields]))
+    outcome = (
+        F.when(F.col(CORRUPT_COLUMN).isNotNull(), "malformed")
+        .when(F.col("city_name").isNull(), "no_city")
+        .when(F.col("hourly").isNull(), "no_hours")
+        .otherwise("good")
+    )
+    text = F.when(F.col("outcome") != "good", F.coalesce(F.col(CORRUPT_COLUMN), parsed))
+    hours = F.coalesce(F.size("hourly.time"), F.lit(0))
+    seen = Observation()
+    rows = (
+        bronze.withColumn("outcome", outcome)
+        .withColumn("document", text)
+        .drop(CORRUPT_COLUMN)
+        .observe(
+            seen,
+            *[F.count_if(F.col("outcome") == name).alias(name) for name in ("good", "malformed", "no_city", "no_hours")],
+            F.count_if((F.col("outcome") == "good") & (hours != HOURS_PER_DAY)).alias("short"),
+        )
+    )
+    folder = new_folder(spark, "landing")
+    rows.write.partitionBy("outcome").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder), seen.get
+
+
+def good(staged: DataFrame) -> DataFrame:
+    return staged.where(F.col("outcome") == "good").drop("outcome", "document")
+
+
+def malformed_rows(staged: DataFrame) -> DataFrame:
+    return staged.where(F.col("outcome") != "good").select(
+        landed_date(), "city", F.col("outcome").alias("reason"), "document"
+    )
 
 
 def reject_rows(documents: DataFrame) -> DataFrame:
@@ -195,22 +257,29 @@ def reject_rows(documents: DataFrame) -> DataFrame:
 
 
 def run_quarantine(
-    spark: SparkSession, lake: Lakehouse, bronze: DataFrame, start: dt.date, end: dt.date
+    spark: SparkSession, lake: Lakehouse, staged: DataFrame, start: dt.date, end: dt.date
 ) -> DataFrame:
-    """Store what is no document and what Silver leaves out; their counts per landed date.
+    """Store what is no document and what Silver leaves out; their counts per landed date,
+    with those of good documents that do not hold one day of hours.
 
     The dates of the range are replaced, so a rerun after a repair clears them.
     """
     days = [str(start + dt.timedelta(days=i)) for i in range((end - start).days + 1)]
-    lake.malformed.replace(spark, malformed_rows(bronze), days)
-    lake.rejects.replace(spark, reject_rows(good_documents(bronze)), days)
-    malformed = lake.malformed.read(spark, start, end).groupBy("landed_date").agg(F.count("*").alias("malformed"))
-    rejected = lake.rejects.read(spark, start, end).groupBy("landed_date").agg(F.sum("rejected").alias("rejected"))
-    return malformed.join(rejected, "landed_date", "full").select(
-        F.col("landed_date").alias("expected_date"),
-        F.coalesce("malformed", F.lit(0)).alias("malformed"),
-        F.coalesce("rejected", F.lit(0)).alias("rejected"),
-    )
+    documents = good(staged)
+    lake.malformed.replace(spark, malformed_rows(staged), days)
+    lake.rejects.replace(spark, reject_rows(documents), days)
+    malformed = lake.malformed.read(spark, start, end).select("landed_date", F.lit("malformed").alias("what"), F.lit(1).cast("bigint").alias("n"))
+    rejected = lake.rejects.read(spark, start, end).select("landed_date", F.lit("rejected").alias("what"), F.col("rejected").alias("n"))
+    short = shape.hour_count_off(documents).select(landed_date(), F.lit("short").alias("what"), F.lit(1).cast("bigint").alias("n"))
+    found = malformed.unionByName(rejected).unionByName(short)
+
+    def total(what: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("what") == what, F.col("n"))), F.lit(0)).alias(what)
+
+    return found.groupBy(F.col("landed_date").alias("expected_date")).agg(*[total(what) for what in QUARANTINED])
+
+
+QUARANTINED = ["malformed", "rejected", "short"]
 
 
 def run_range(
@@ -228,13 +297,14 @@ def run_range(
 ) -> DataFrame:
     """Bronze to Gold for every city and date of the range, in one set of jobs.
 
-    Fails when a city-date (a city, without ``require_coverage``) has no document
-    that parses or a date has no Gold row; returns the status of each date, with the
-    documents and readings that went to the quarantine tables before the gates.
+    The landing is parsed once, into a table that all steps read. Fails when a city-date
+    (a city, without ``require_coverage``) has no document that parses or a date has no
+    Gold row; returns the status of each date, with the documents and readings that went to
+    the quarantine tables before the gates, and the documents short of a day of hours.
     """
-    bronze = read_bronze(spark, bronze_root, start, end, multi_line=multi_line)
-    documents = good_documents(bronze)
-    quarantined = run_quarantine(spark, lake, bronze, start, end)
+    staged, _ = staged_landing(spark, read_bronze(spark, bronze_root, start, end, multi_line=multi_line))
+    documents = good(staged)
+    quarantined = run_quarantine(spark, lake, staged, start, end)
     if require_coverage:
         coverage = gates.city_date_coverage(cities, documents, start, end)
     else:
@@ -246,7 +316,7 @@ def run_range(
         lake.daily.read(spark, start, end), gates.date_grid(spark, start, end), cities.count()
     )
     gates.require_no_failure(status, "dates without Gold rows")
-    return status.join(quarantined, "expected_date", "left").fillna(0, ["malformed", "rejected"])
+    return status.join(quarantined, "expected_date", "left").fillna(0, QUARANTINED)
 
 
 def run_daily(
@@ -267,5 +337,5 @@ def run_backfill(
     status = run_range(spark, bronze_root, lake, cities, start, end, today, **options)
     total = gates.gold_total_status(lake.daily.read(spark), days * cities.count())
     gates.require_no_failure(total, "Gold is empty")
-    quarantined = status.agg(F.sum("malformed").alias("malformed"), F.sum("rejected").alias("rejected")).first()
+    quarantined = status.agg(*[F.sum(what).alias(what) for what in QUARANTINED]).first()
     return total.withColumns({name: F.lit(n) for name, n in quarantined.asDict().items()})

@@ -1,42 +1,68 @@
-"""Bronze: nested JSON documents partitioned by city, year, month, day."""
+"""Bronze: nested JSON documents partitioned by city, year, month, day.
+
+A landing that is written here keeps each batch in a folder of its own and a manifest of the
+city-days that it holds. The manifest is appended after the files are complete, and the last
+batch of a city-day is the one that counts: nothing is deleted or overwritten, no folder is
+listed to find documents, and a batch that failed half-way is never seen. A landing of
+another writer, without manifest, is read by its folders.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from nimbra.schemas import BRONZE, BRONZE_PARTITIONS, CORRUPT_COLUMN, bronze_read_schema
+from nimbra.schemas import BRONZE, BRONZE_PARTITIONS, CORRUPT_COLUMN, bronze_read_schema, struct
+from nimbra.sources.sql_tables import create_table, point_partitions
 
+_MANIFEST = struct(
+    sequence="bigint", city="string", year="string", month="string", day="string",
+    path="string", files="bigint", length="bigint",
+)
 
-# Longest ranges, in days, whose folders are named day by day or month by month.
-DAY_FOLDERS = 62
-MONTH_FOLDERS = 1100
 
+def _missing_is_none(load: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return load()
+    except AnalysisException as problem:
+        if _none_found(problem):
+            return None
+        raise
 
-def _folders(root: str, start: dt.date, end: dt.date) -> str:
-    """Glob over the date folders of a range, so that no other folder is listed.
 
-    Named by day, month or year, whichever keeps the pattern short; the
-    partition filter of the range does the rest.
-    """
-    days = [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
-    if len(days) <= DAY_FOLDERS:
-        names = [f"year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
-    elif len(days) <= MONTH_FOLDERS:
-        names = [f"year={d:%Y}/month={d:%m}" for d in days]
-    else:
-        names = [f"year={d:%Y}" for d in days]
-    return f"{root}/city=*/{{{','.join(sorted(set(names)))}}}"
+def manifest(
+    spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None
+) -> DataFrame | None:
+    """The current entry of every city-day (of the range, if given); None without a manifest."""
+    entries = _missing_is_none(lambda: spark.read.schema(_MANIFEST).json(f"{root}/manifest"))
+    if entries is None:
+        return None
+    wanted = F.lit(True) if start is None or end is None else in_date_range(start, end)
+    about = F.max_by(F.struct("path", "files", "length"), "sequence").alias("last")
+    return entries.where(wanted).groupBy(*BRONZE_PARTITIONS).agg(about).select(*BRONZE_PARTITIONS, "last.*")
+
+
+def documents_root(spark: SparkSession, root: str) -> str:
+    """Where the documents of a landing are, for readers that go by folders."""
+    return root if manifest(spark, root) is None else f"{root}/documents"
 
 
-def _load(reader: DataFrameReader, root: str, start: dt.date | None, end: dt.date | None) -> DataFrame:
-    if start is None or end is None:
-        return reader.load(root)
-    found = reader.option("basePath", root).load(_folders(root, start, end))
-    return found.where(in_date_range(start, end))
+def _load(
+    spark: SparkSession, reader: DataFrameReader, root: str, start: dt.date | None, end: dt.date | None
+) -> DataFrame | None:
+    """What ``reader`` finds: the folders that the manifest names, one for each city-day."""
+    entries = manifest(spark, root, start, end)
+    if entries is None:
+        found = _missing_is_none(lambda: reader.load(root)) if start else reader.load(root)
+        return found if found is None or start is None or end is None else found.where(in_date_range(start, end))
+    paths = [row["path"] for row in entries.select("path").collect()]
+    return reader.option("basePath", f"{root}/documents").load(paths).drop("batch") if paths else None
 
 
 def _none_found(problem: AnalysisException) -> bool:
@@ -68,12 +94,8 @@ def read_bronze(
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("allowNonNumericNumbers", False)
     )
-    try:
-        return _load(reader, root, start, end)
-    except AnalysisException as problem:
-        if start and _none_found(problem):
-            return spark.createDataFrame([], schema)
-        raise
+    found = _load(spark, reader, root, start, end)
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _is_document() -> Column:
@@ -103,19 +125,26 @@ def malformed_documents(bronze: DataFrame) -> DataFrame:
 def landed_files(
     spark: SparkSession, root: str, start: dt.date | None = None, end: dt.date | None = None
 ) -> DataFrame:
-    """Non-empty files with their partition keys; their content is not read.
-
-    Keys are taken as text, which needs partition type inference switched off.
-    """
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        files = _load(spark.read.format("binaryFile"), root, start, end)
-    except AnalysisException as problem:
-        if start and _none_found(problem):
-            keys = ", ".join(f"{k} string" for k in BRONZE_PARTITIONS)
-            return spark.createDataFrame([], f"{keys}, path string, length bigint")
-        raise
-    return files.where(F.col("length") > 0).select(*BRONZE_PARTITIONS, "path", "length")
+    """City-days that hold anything, with path and length: from the manifest, or one row for
+    each non-empty file of a landing without one. Content is not read."""
+    entries = manifest(spark, root, start, end)
+    if entries is None:
+        keys = struct(**{k: "string" for k in BRONZE_PARTITIONS})
+        reader = spark.read.schema(T.StructType([*_FILE.fields, *keys.fields])).format("binaryFile")
+        entries = _load(spark, reader, root, start, end)
+        if entries is None:
+            return spark.createDataFrame([], T.StructType([*keys.fields, *_FILE.fields[::2]]))
+    return entries.where(F.col("length") > 0).select(*BRONZE_PARTITIONS, "path", "length")
+
+
+_FILE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 
 
 def partition_text(date: Column) -> dict[str, Column]:
@@ -142,30 +171,56 @@ def in_date_range(start: dt.date, end: dt.date) -> Column:
 
 
 def write_bronze(documents: DataFrame, root: str) -> None:
-    """Replace the city-days present in ``documents``; others stay.
+    """Land ``documents``: they are the city-days that they hold from now on; others stay.
 
     The rebalance gives a small city-day one file and splits a large one over
-    several tasks.
+    several tasks. One writer at a time.
     """
+    spark = documents.sparkSession
+    batch = f"{root}/documents/batch={uuid.uuid4().hex}"
     (
         documents.select(*[F.col(f.name) for f in BRONZE.fields], *BRONZE_PARTITIONS)
         .hint("rebalance", *BRONZE_PARTITIONS)
         .write.partitionBy(*BRONZE_PARTITIONS)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .json(root)
+        .json(batch)
     )
+    record_batch(spark, root, batch)
 
 
-def register_bronze(spark: SparkSession, database: str, table: str, root: str) -> None:
-    """Create the external table if absent and pick up new partitions."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    columns = ", ".join(
-        f"{f.name} {f.dataType.simpleString()}" for f in bronze_read_schema().fields
-        if f.name != CORRUPT_COLUMN
+def record_batch(spark: SparkSession, root: str, batch: str) -> None:
+    """Append the city-days in the folder ``batch`` to the manifest of ``root``; from here on
+    readers see them. The folder is listed, its files are not read."""
+    files = landed_files(spark, batch)
+    entries = files.groupBy(*BRONZE_PARTITIONS).agg(
+        F.min(F.regexp_replace("path", "/[^/]*$", "")).alias("path"),
+        F.count("*").alias("files"),
+        F.sum("length").alias("length"),
     )
+    known = _missing_is_none(lambda: spark.read.schema(_MANIFEST).json(f"{root}/manifest"))
+    last = 0 if known is None else known.agg(F.max("sequence")).first()[0] or 0
+    entries.select(F.lit(last + 1).cast("bigint").alias("sequence"), *_MANIFEST.fieldNames()[1:]).coalesce(1).write.mode(
+        "append"
+    ).json(f"{root}/manifest")
+
+
+def register_bronze(spark: SparkSession, database: str, table: str, root: str) -> None:
+    """SQL access to a landing: the table ``table`` of all that landed, whose partitions follow
+    the manifest (or the folders, without one), and the view ``table``_documents of what is a
+    document. Both are created if absent; calling again picks up what has landed since."""
+    fields = [f for f in bronze_read_schema().fields if f.name not in BRONZE_PARTITIONS]
+    options = {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN, "allowNonNumericNumbers": "false",
+    }
+    entries = manifest(spark, root)
+    name = f"{database}.{table}"
+    create_table(spark, name, T.StructType(fields), BRONZE_PARTITIONS, "json", root, options)
+    if entries is None:
+        spark.catalog.recoverPartitions(name)
+    else:
+        current = {tuple(row[k] for k in BRONZE_PARTITIONS): row["path"] for row in entries.collect()}
+        point_partitions(spark, name, BRONZE_PARTITIONS, current)
+    columns = ", ".join(f.name for f in [*BRONZE.fields]) + ", " + ", ".join(BRONZE_PARTITIONS)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING json "
-        f"OPTIONS (path '{root}') PARTITIONED BY ({', '.join(BRONZE_PARTITIONS)})"
+        f"CREATE OR REPLACE VIEW {name}_documents AS SELECT {columns} FROM {name} "
+        f"WHERE {CORRUPT_COLUMN} IS NULL AND city_name IS NOT NULL"
     )
-    spark.catalog.recoverPartitions(f"{database}.{table}")

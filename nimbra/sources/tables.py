@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nimbra.operators.daily import partial_schema
 from nimbra.schemas import GOLD_DAILY, GOLD_EVENTS, SILVER, struct
+from nimbra.sources.sql_tables import create_table, point_partitions
 
 SLICE = "slice"
-MALFORMED = struct(landed_date="date", city="string", document="string")
+MALFORMED = struct(landed_date="date", city="string", reason="string", document="string")
 REJECTS = struct(
     landed_date="date", city_name="string", observation_date="date", rejected="bigint",
     no_temperature="bigint", no_humidity="bigint", no_wind="bigint", no_time="bigint",
@@ -38,6 +40,8 @@ class SlicedTable:
     date_column: str
     slice_format: str
     order: tuple[str, ...]
+    #: Name of the catalog table that follows the current versions, if there is one.
+    catalog_name: str | None = None
 
     def slice_of(self, date: Column) -> Column:
         return F.date_format(date, self.slice_format)
@@ -55,22 +59,31 @@ class SlicedTable:
 
         The driver sees one line per slice (a day or a month), never rows.
         """
+        folders = [f for f in self._folders(spark, keep).values() if f]
+        return spark.read.schema(self.schema).parquet(*folders) if folders else None
+
+    def _folders(self, spark: SparkSession, keep: Column) -> dict[str, str | None]:
+        """The folder of the current version of each slice; None where that is empty."""
         log = self._log(spark)
-        current = (
-            []
-            if log is None
-            else log.where(keep)
-            .groupBy(SLICE)
-            .agg(F.max_by(F.struct("version", "filled"), "sequence").alias("last"))
-            .where("last.filled")
-            .select(SLICE, "last.version")
-            .collect()
-        )
-        if not current:
-            return None
-        return spark.read.schema(self.schema).parquet(
-            *[f"{self.root}/data/version={r.version}/{SLICE}={r.slice}" for r in current]
-        )
+        if log is None:
+            return {}
+        last = F.max_by(F.struct("version", "filled"), "sequence").alias("last")
+        current = log.where(keep).groupBy(SLICE).agg(last).select(SLICE, "last.*").collect()
+        return {
+            r[SLICE]: f"{self.root}/data/version={r.version}/{SLICE}={r[SLICE]}" if r.filled else None
+            for r in current
+        }
+
+    def create_table(self, spark: SparkSession) -> None:
+        """Create the catalog table if absent and point it to the current versions."""
+        create_table(spark, self.catalog_name, self.schema, [SLICE], "parquet", f"{self.root}/data")
+        self.publish(spark, F.lit(True))
+
+    def publish(self, spark: SparkSession, keep: Column) -> None:
+        """Let the catalog table, if there is one, read the current versions of these slices."""
+        if self.catalog_name and spark.catalog.tableExists(self.catalog_name):
+            folders = {(name,): folder for name, folder in self._folders(spark, keep).items()}
+            point_partitions(spark, self.catalog_name, [SLICE], folders)
 
     def read(
         self, spark: SparkSession, start: dt.date | None = None, end: dt.date | None = None
@@ -156,6 +169,7 @@ class Version:
         spark.createDataFrame(entries, _LOG).coalesce(1).write.mode("append").json(
             f"{self.table.root}/log"
         )
+        self.table.publish(spark, F.col(SLICE).isin([s for _, s, *_ in entries]))
 
 
 def silver_table(root: str) -> SlicedTable:
@@ -193,3 +207,8 @@ def malformed_table(root: str) -> SlicedTable:
 def rejects_table(root: str) -> SlicedTable:
     """Counts of the readings that Silver leaves out; one slice per date of the landing."""
     return SlicedTable(f"{root}/quarantine_rejects", REJECTS, "landed_date", "yyyy-MM-dd", ("city_name",))
+
+
+def partials_table(root: str) -> SlicedTable:
+    """Partial summaries of documents, by the text ``document``; one slice per date."""
+    return SlicedTable(f"{root}/gold_partials", partial_schema("document"), "weather_date", "yyyy-MM-dd", ("city_name",))

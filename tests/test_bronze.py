@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from nimbra.fixed_values import HOURLY_VARIABLES
 from nimbra.operators import shape
 from nimbra.operators.silver import explode_hours, flagged, rejects, to_silver
 from nimbra.sources import bronze as source
@@ -98,6 +100,35 @@ def test_split_of_unordered_times_and_missing_variable(spark):
     assert got["10"]["rain"] is None
 
 
+def test_hours_without_a_time_stay_in_a_document_of_their_own(spark):
+    record = document(hours=4, temperature_2m=[1.0, 2.0, 3.0, 4.0])
+    record["hourly"]["time"][2] = None
+    split = shape.split_daily(frame_of(spark, record)).collect()
+    assert {r["day"]: r["hourly"]["temperature_2m"] for r in split} == {None: [3.0], "10": [1.0, 2.0, 4.0]}
+
+
+def test_a_long_response_is_split_in_linear_time(spark, tmp_path):
+    """Ten years of hours: each value is cut once, not once a date."""
+
+    def split_of(hours: int) -> float:
+        path = str(tmp_path / f"{hours}")
+        start = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
+        every = F.sequence(F.lit(0), F.lit(hours - 1))
+        time_of = F.transform(every, lambda i: F.date_format(F.timestamp_add("HOUR", i, start), "yyyy-MM-dd'T'HH:mm"))
+        series = [F.transform(every, lambda i: i.cast("double")).alias(v) for v in HOURLY_VARIABLES]
+        response = spark.range(1).select(F.lit("tokyo").alias("city_name"), F.struct(time_of.alias("time"), *series).alias("hourly"))
+        response.write.parquet(path)
+        took = []
+        for _ in range(2):
+            began = time.perf_counter()
+            found = shape.split_daily(spark.read.parquet(path)).agg(F.count("*"), F.sum(F.size("hourly.rain"))).first()
+            took.append(time.perf_counter() - began)
+            assert tuple(found) == (hours // 24, hours)
+        return min(took)
+
+    assert split_of(87_600) < 5 * max(0.5, split_of(21_900))
+
+
 def test_only_the_run_date_is_kept(spark):
     response = frame_of(spark, document(hours=48, temperature_2m=[float(i) for i in range(48)]))
     kept = shape.keep_date(response, F.lit("2024-01-11")).first()

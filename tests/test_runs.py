@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from nimbra.operators import gates
-from nimbra.operators.silver import explode_hours, rejects
+from nimbra.operators import gates, shape
+from nimbra.operators.daily import partial_summaries, summary_of_partials
+from nimbra.operators.silver import explode_hours, flagged, rejects
+from nimbra.plans import runs
 from nimbra.plans.runs import (
     Lakehouse,
     land_day,
@@ -15,11 +17,13 @@ from nimbra.plans.runs import (
     run_daily,
     run_range,
     run_silver,
+    store_partials,
 )
-from nimbra.sources.bronze import good_documents, landed_files, read_bronze
 from nimbra.scratch import new_folder
+from nimbra.sources import bronze as bronze_source
+from nimbra.sources.bronze import good_documents, landed_files, read_bronze, write_bronze
 from nimbra.sources.cities import configured_cities
-from nimbra.streaming.ingest import stream_daily
+from nimbra.streaming.ingest import stream_daily, stream_silver
 from tests.helpers import DAY, daily, document, frame_of, land, rows, silver, silver_row
 
 CITIES = ["mumbai", "delhi", "bangalore", "london", "new_york", "tokyo"]
@@ -200,7 +204,7 @@ def test_landing_of_responses_to_gold(spark, tmp_path):
     assert spark.table("silver_hourly").count() == 24 * 24
 
 
-def test_only_the_folders_of_the_range_are_listed(spark, tmp_path):
+def test_a_range_reads_its_own_dates(spark, tmp_path):
     spread = [DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=70), dt.date(2031, 5, 6)]
     for day in spread:
         land(tmp_path, document(start=day, hours=2), day=day)
@@ -208,13 +212,111 @@ def test_only_the_folders_of_the_range_are_listed(spark, tmp_path):
     for last, count in ((DAY, 1), (spread[1], 2), (spread[2], 3), (spread[3], 4)):
         assert good_documents(read_bronze(spark, str(tmp_path), DAY, last)).count() == count
         assert landed_files(spark, str(tmp_path), DAY, last).count() == count
-    one = read_bronze(spark, str(tmp_path), DAY, DAY)
-    assert len(one.inputFiles()) == 2 and one.first()["month"] == "01"
+    assert read_bronze(spark, str(tmp_path), DAY, DAY).first()["month"] == "01"
     nothing = dt.date(2020, 1, 1)
     assert read_bronze(spark, str(tmp_path), nothing, nothing).count() == 0
     assert landed_files(spark, str(tmp_path), nothing, nothing).count() == 0
 
 
+def test_the_manifest_names_what_is_read(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+
+    def put(day, hours):
+        write_bronze(shape.with_partition_keys(frame_of(spark, document(start=day, hours=hours))), root)
+
+    def hours_of(*dates):
+        found = good_documents(read_bronze(spark, root, *dates)).select("day", F.size("hourly.time").alias("n"))
+        return {r["day"]: r["n"] for r in found.collect()}
+
+    put(DAY, 2)
+    put(DAYS[1], 3)
+    assert hours_of() == {"10": 2, "11": 3} and hours_of(DAY, DAY) == {"10": 2}
+    assert len(read_bronze(spark, root, DAY, DAY).inputFiles()) == 1
+    put(DAY, 5)  # the last batch of a city-day counts, and no older one is read
+    assert hours_of() == {"10": 5, "11": 3} and len(read_bronze(spark, root).inputFiles()) == 2
+    assert {r["day"] for r in landed_files(spark, root, DAY, DAYS[1]).collect()} == {"10", "11"}
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(bronze_source, "record_batch", crash)  # after the files, before the manifest
+    with pytest.raises(RuntimeError):
+        put(DAY, 7)
+    assert hours_of() == {"10": 5, "11": 3}
+    nothing = dt.date(2020, 1, 1)
+    assert read_bronze(spark, root, nothing, nothing).count() == 0
+    assert landed_files(spark, root, nothing, nothing).count() == 0
+
+
+def test_a_landing_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Once it is staged, a run can do without the landing."""
+    for city in CITIES:
+        land(tmp_path / "bronze", document(city=city), city=city)
+    land(tmp_path / "bronze", document(city="delhi", hours=3), city="delhi", name="short")
+    record = document(city="delhi")
+    record["hourly"] = None
+    land(tmp_path / "bronze", record, city="delhi", name="empty")
+    stage = runs.staged_landing
+
+    def staged_then_gone(spark, bronze):
+        table, counts = stage(spark, bronze)
+        assert counts == {"good": 7, "malformed": 0, "no_city": 0, "no_hours": 1, "short": 1}
+        (tmp_path / "bronze").rename(tmp_path / "elsewhere")
+        return table, counts
+
+    monkeypatch.setattr(runs, "staged_landing", staged_then_gone)
+    lake = Lakehouse.at(str(tmp_path / "lake"))
+    status = run_range(spark, str(tmp_path / "bronze"), lake, configured_cities(spark), DAY, DAY, DAY).first()
+    assert (status["row_count"], status["malformed"], status["short"]) == (6, 1, 1)
+    assert [r["reason"] for r in lake.malformed.read(spark).collect()] == ["no_hours"]
+
+
+def test_catalog_tables_follow_the_current_version(spark, tmp_path):
+    lake = Lakehouse.at(str(tmp_path / "lake"), database="follows")
+    lake.create_tables(spark)
+    lake.create_tables(spark)  # there already
+    assert spark.table("follows.silver_hourly").count() == 0
+    run_silver(spark, lake, frame_of(spark, document(city="london"), document(city="delhi")))
+    assert spark.table("follows.silver_hourly").count() == 48
+    run_silver(spark, lake, frame_of(spark, document(city="london", temperature_2m=[None] * 24)))
+    assert spark.table("follows.silver_hourly").count() == 24
+    run_silver(spark, lake, frame_of(spark, document(city="delhi", hours=0)))
+    assert spark.table("follows.silver_hourly").count() == 0  # an empty slice has no partition
+    again = Lakehouse.at(str(tmp_path / "lake"), database="later")
+    run_silver(spark, lake, frame_of(spark, document(city="tokyo", start=DAYS[1])))
+    again.create_tables(spark)  # made after the fact, they see what is there
+    assert spark.sql("SELECT DISTINCT city_name FROM later.silver_hourly").collect()[0][0] == "tokyo"
+
+
+def test_late_documents_reach_gold(spark, tmp_path):
+    lake, checkpoint = Lakehouse.at(str(tmp_path / "lake")), str(tmp_path / "checkpoint")
+    for day in (dt.date(2024, 5, 1), DAY):  # the second comes sixteen weeks late
+        land(tmp_path / "bronze", document(start=day), day=day)
+        stream_daily(spark, str(tmp_path / "bronze"), lake, checkpoint, DAY).awaitTermination()
+    assert {r["weather_date"] for r in lake.daily.read(spark).collect()} == {DAY, dt.date(2024, 5, 1)}
+    assert stream_silver(spark, lake).count() == 48
+
+
+def test_a_restated_document_replaces_its_partial_summaries(spark, tmp_path):
+    lake = Lakehouse.at(str(tmp_path / "lake"))
+
+    def put(name, **series):
+        frame = frame_of(spark, document(**series)).withColumn("document", F.lit(name))
+        readings = flagged(explode_hours(frame, "document"), "document")
+        store_partials(spark, lake.partials, partial_summaries(readings, "document"), frame)
+
+    put("a", hours=12, temperature_2m=[10.0] * 12)
+    put("b", hours=12, temperature_2m=[20.0] * 12)
+    put("a", hours=6, temperature_2m=[30.0] * 6)
+    row = summary_of_partials(lake.partials.read(spark), DAY).first()
+    assert (row["record_count"], row["max_temperature"], row["min_temperature"]) == (18, 30.0, 20.0)
+    put("b", start=DAYS[1], hours=2)  # moved to another date
+    got = {r["weather_date"]: r["record_count"] for r in summary_of_partials(lake.partials.read(spark), DAY).collect()}
+    assert got == {DAY: 6, DAYS[1]: 2}
+    plan = summary_of_partials(lake.partials.read(spark), DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "silver" not in plan and plan.count("FileScan") == 1
+
+
 def test_a_day_restated_all_bad_loses_its_old_rows(spark, tmp_path):
     lake = Lakehouse.at(str(tmp_path / "lake"))
     run_silver(spark, lake, frame_of(spark, document(city="london"), document(city="delhi")))
