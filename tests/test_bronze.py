@@ -126,7 +126,7 @@ def test_a_long_response_is_split_in_linear_time(spark, tmp_path):
             assert tuple(found) == (hours // 24, hours)
         return min(took)
 
-    assert split_of(87_600) < 5 * max(0.5, split_of(21_900))
+    assert split_of(87_600) < 5 * max(0.5, split_of(21_888))
 
 
 def test_only_the_run_date_is_kept(spark):
