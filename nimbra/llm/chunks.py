@@ -13,25 +13,16 @@ from collections.abc import Callable
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
-#: A word of letters, then ASCII punctuation but the apostrophe: one match of the pattern each.
-_SIMPLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+# --- fixed value: the splitting pattern for which all of this holds ---
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Distinct chunks that a Python worker remembers before it starts anew.
-KEPT = 900_000
+#: A word of letters and ASCII punctuation but the apostrophe, and perhaps a line break and
+#: another such word: one match of the pattern each.
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ɏ]+", "[!-&(-/:-@\\[-`{-~]*"
+_SIMPLE = re.compile(f"( ?{_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
-
-class _Numbers(dict):
-    """A number for every chunk, given when it is first looked up."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-        self.values: list[bytes | None] = []
-
-    def __missing__(self, chunk: str) -> int:
-        self[chunk] = number = len(self)
-        self.new.append(chunk)
-        return number
+#: The longest chunk that is remembered beyond a call.
+LONGEST_KEPT = 64
 
 
 class ChunkEncoder:
@@ -39,54 +30,59 @@ class ChunkEncoder:
     ``encode_matches`` for strings that the pattern matches whole, ``encode_any`` for others.
     Results of chunks are remembered. Chunks but the first of a text follow a space."""
 
+    #: Characters of the chunks that a Python worker remembers before it starts anew.
+    kept_chars = 4_000_000
+
     def __init__(self, encode_matches: Callable[[list[str]], list[bytes]], encode_any: Callable[[list[str]], list[bytes]]):
         self.encode_matches, self.encode_any = encode_matches, encode_any
-        self.first, self.later = _Numbers(), _Numbers()
+        self.first: dict[str, bytes | None] = {}
+        self.later: dict[str, bytes | None] = {}
+        self.chars = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > KEPT:
-            self.first, self.later = _Numbers(), _Numbers()
+        if self.chars > self.kept_chars:
+            self.first, self.later, self.chars = {}, {}, 0
         first, later = self.first, self.later
-        numbers = []
+        cut = []
         for text in texts:
-            rest = iter(text.split(" "))
-            numbers.append((first[next(rest)], [*map(later.__getitem__, rest)]))
-        self._learn(first, "")
-        self._learn(later, " ")
-        out, of, odd = [], later.values.__getitem__, []
-        for i, (head, tail) in enumerate(numbers):
+            head, *tail = text.split(" ")
+            cut.append((head, tail))
+        long = [(first, self._learn(first, {head for head, _ in cut}, ""))]
+        long.append((later, self._learn(later, set().union(*[tail for _, tail in cut]), " ")))
+        out, of, odd = [], later.__getitem__, []
+        for i, (head, tail) in enumerate(cut):
             try:
-                out.append(b"".join([first.values[head], *map(of, tail)]))
+                out.append(b"".join([first[head], *map(of, tail)]))
             except TypeError:  # where spaces meet other white space, a chunk has no value of its own
                 out.append(b"")
                 odd.append(i)
+        for known, chunks in long:
+            for chunk in chunks:
+                del known[chunk]
         if odd:
-            cut = [_CUT.split(texts[i]) for i in odd]
-            chunks = list({parts[0] for parts in cut} | {" " + part for parts in cut for part in parts[1:]})
+            parts = [_CUT.split(texts[i]) for i in odd]
+            chunks = list({p[0] for p in parts} | {" " + chunk for p in parts for chunk in p[1:]})
             values = dict(zip(chunks, self.encode_any(chunks), strict=True))
-            for i, parts in zip(odd, cut, strict=True):
-                out[i] = b"".join([values[parts[0]], *(values[" " + part] for part in parts[1:])])
+            for i, p in zip(odd, parts, strict=True):
+                out[i] = b"".join([values[p[0]], *(values[" " + chunk] for chunk in p[1:])])
         return out
 
-    def _learn(self, numbers: _Numbers, before: str) -> None:
-        """Values of the new chunks; none for one that is empty or has white space at an end."""
-        new, numbers.new = numbers.new, []
-        split = []
-        matches: set[str] = set()
-        others: list[str] = []
-        for chunk in new:
-            chunk = before + chunk
-            simple = _SIMPLE.fullmatch(chunk)
-            if simple:
-                split.append(simple.groups())
-                matches.update(simple.groups())
-            elif len(chunk) == len(before) or chunk[len(before)].isspace() or chunk[-1].isspace():
-                split.append(None)
-            else:
-                split.append((chunk,))
-                others.append(chunk)
-        words = list(matches)
-        values = dict(zip(words, self.encode_matches(words), strict=True)) if words else {}
-        values.update(zip(others, self.encode_any(others), strict=True))
-        values[""] = b""
-        numbers.values.extend(None if s is None else values[s[0]] + values[s[1]] if len(s) == 2 else values[s[0]] for s in split)
+    def _learn(self, known: dict[str, bytes | None], chunks: set[str], before: str) -> list[str]:
+        """Values of the chunks that are new; none for one that is empty or has white space at
+        an end. Returns the chunks that are too long to be kept."""
+        new = list(chunks.difference(known))
+        whole = [chunk for chunk in new if chunk and not (chunk[0].isspace() or chunk[-1].isspace())]
+        known.update(dict.fromkeys(new))
+        known.update(zip(whole, self._values([before + chunk for chunk in whole]), strict=True))
+        self.chars += sum(map(len, new))
+        return [chunk for chunk in new if len(chunk) > LONGEST_KEPT]
+
+    def _values(self, chunks: list[str]) -> list[bytes]:
+        find = _SIMPLE.fullmatch
+        split = [found.groups("") if (found := find(chunk)) else None for chunk in chunks]
+        matches = list({part for parts in split if parts for part in parts if part})
+        of = dict(zip(matches, self.encode_matches(matches), strict=True)) if matches else {}
+        of[""] = b""
+        others = [chunk for chunk, parts in zip(chunks, split, strict=True) if parts is None]
+        rest = iter(self.encode_any(others))
+        return [next(rest) if parts is None else b"".join([of[part] for part in parts]) for parts in split]

@@ -6,12 +6,16 @@ import os
 import re
 from array import array
 from functools import partial
+from itertools import chain
 
 from nimbra.llm.chunks import ChunkEncoder
 
+
 class LibraryEncoder(ChunkEncoder):
     """Texts that hold the content of an added token are encoded whole, as the library does."""
 
+    kept_chars = 10_000_000
+
     def __init__(self, encode_matches, encode_any, added: list[str]):
         super().__init__(encode_matches, encode_any)
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
@@ -47,16 +51,21 @@ def library_encoder(path: str) -> LibraryEncoder:
             out: list[bytes] = []
             for at in range(0, len(pieces), 20_000):
                 found = tokenizer.encode_batch_fast(pieces[at : at + 20_000], add_special_tokens=False)
-                out.extend(array("I", encoding.ids).tobytes() for encoding in found)
+                every = [encoding.ids for encoding in found]
+                raw = array("I", chain.from_iterable(every)).tobytes()
+                begin = 0
+                for ids in every:
+                    end = begin + 4 * len(ids)
+                    out.append(raw[begin:end])
+                    begin = end
             return out
 
-        _ENCODERS[path] = LibraryEncoder(
-            partial(encode, single), partial(encode, whole), [t.content for t in whole.get_added_tokens_decoder().values()]
-        )
+        added = [t.content for t in whole.get_added_tokens_decoder().values()]
+        _ENCODERS[path] = LibraryEncoder(partial(encode, single), partial(encode, whole), added)
     return _ENCODERS[path]
 
 
 def vocabulary_size(path: str) -> int:
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)

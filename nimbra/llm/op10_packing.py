@@ -12,6 +12,7 @@ ones (by the sum of squared piece lengths, the cost of attention) evenly.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -91,6 +92,17 @@ class TierPacker:
                 else:
                     self.windows.append((context, window))
 
+    def whole_groups(self, step_tokens: int) -> list[tuple[int, list[Piece]]]:
+        """Takes out the windows that fill step groups of their context; the others wait."""
+        waiting = Counter(context for context, _ in self.windows)
+        room = {context: n - n % max(1, step_tokens // context) for context, n in waiting.items()}
+        taken, left = [], []
+        for window in self.windows:
+            room[window[0]] -= 1
+            (taken if room[window[0]] >= 0 else left).append(window)
+        self.windows = left
+        return taken
+
     def _powers(self, pieces: list[Piece], tokens: int) -> None:
         """Cut what is left into sequences of descending powers of two."""
         pieces = pieces[::-1]
@@ -151,11 +163,12 @@ def pack(
         sequence = group = TaskContext.get().partitionId() << 32
         key_type = to_arrow_type(key_kind)
 
-        def finished() -> Iterator[pa.RecordBatch]:
+        def finished(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal sequence, group
-            groups = step_groups(packer.windows, STEP_TOKENS)
+            windows = packer.windows if last else packer.whole_groups(STEP_TOKENS)
+            groups = step_groups(windows, STEP_TOKENS)
             columns: list[list] = [[] for _ in range(9)]
-            for (context, pieces), step in zip(packer.windows, groups, strict=True):
+            for (context, pieces), step in zip(windows, groups, strict=True):
                 offset = 0
                 for key, start, ids, total in pieces:
                     n = len(ids) // 4
@@ -165,7 +178,6 @@ def pack(
                     offset += n
                 sequence += 1
             group += max(groups, default=-1) + 1
-            packer.windows = []
             kinds = (key_type, *(pa.int64(),) * 2, pa.binary(), *(pa.int64(),) * 3, pa.int32(), pa.int64())
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             for at in range(0, len(arrays[0]), 2000):
@@ -176,9 +188,9 @@ def pack(
                 packer.add(key, ids + ending)
             if packer.pooled >= POOL_TOKENS:
                 packer.pack(last=False)
-            yield from finished()
+            yield from finished(last=False)
         packer.pack(last=True)
-        yield from finished()
+        yield from finished(last=True)
 
     key_kind = docs.schema[id_col].dataType
     packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

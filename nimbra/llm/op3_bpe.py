@@ -4,12 +4,15 @@ Pieces are the matches of the splitting pattern. Distinct pieces of a batch are
 put into matrices by byte length, one row each, padded at the end. In every
 round each row merges its leftmost pair of least rank: ranks of pairs come from
 a hash table of pairs in numpy, the merged row is compacted by one place, and
-rows without a pair of known rank leave the matrix.
+rows without a pair of known rank leave the matrix. A matrix costs a round for every merge
+of a row, so a piece of more than ``LONG_PIECE`` bytes (a run without white space) is merged
+in linked form instead, in the same order, with a heap of its pairs.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +20,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nimbra.llm.chunks import ChunkEncoder
+from nimbra.llm.chunks import PATTERN, ChunkEncoder
 from nimbra.llm.common import slices, table, texts_of
 
 NO_RANK = np.int32(2**31 - 1)
 PAD = -1
+LONG_PIECE = 2048
 #: A matrix has at most this many cells (rows are taken in several matrices beyond it).
 MATRIX_CELLS = 1 << 21
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -89,7 +93,8 @@ class BytePairCodec:
             if token[:at] in ranks and token[at:] in ranks
         ]
         self.pairs = PairTable(*np.array(pairs, np.int64).reshape(-1, 3).T)
-        self.chunks = ChunkEncoder(self._encode_matches, self._encode_chunks)
+        # with another pattern a text may not be cut at spaces, and is encoded as it is
+        self.chunks = ChunkEncoder(self._encode_matches, self._encode_chunks) if pattern == PATTERN else None
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> BytePairCodec:
@@ -98,7 +103,8 @@ class BytePairCodec:
         return cls(ranks, pattern)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(ids, np.int32) for ids in self.chunks.encode(texts)]
+        encoded = self._encode_chunks(texts) if self.chunks is None else self.chunks.encode(texts)
+        return [np.frombuffer(ids, np.int32) for ids in encoded]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -120,6 +126,8 @@ class BytePairCodec:
             whole = self.ranks.get(piece)
             if whole is not None:
                 out[row] = np.int32(whole).tobytes()
+            elif len(piece) > LONG_PIECE:
+                out[row] = self._merge_linked(piece)
             else:
                 # buckets by length: a width of 1, 2, 3, 4, 6, 8, 12, 16, ... holds the piece
                 n = max(1, len(piece))
@@ -133,6 +141,38 @@ class BytePairCodec:
                     out[row] = ids
         return out
 
+    def _merge_linked(self, piece: bytes) -> bytes:
+        """Always the leftmost pair of least rank, from a heap of (rank, place) in one integer;
+        an entry whose pair has changed since is passed over."""
+        rank_of, n = self.ranks.get, len(piece)
+        parts: list[bytes] = [piece[i : i + 1] for i in range(n)]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [
+            rank << 40 | at
+            for at, pair in enumerate(map(bytes.__add__, parts, parts[1:]))
+            if (rank := rank_of(pair)) is not None
+        ]
+        heapq.heapify(heap)
+        while heap:
+            entry = heapq.heappop(heap)
+            at = entry & (1 << 40) - 1
+            right = after[at]
+            if not parts[at] or right >= n:
+                continue
+            pair = parts[at] + parts[right]
+            if rank_of(pair) != entry >> 40:
+                continue
+            parts[at], parts[right] = pair, b""
+            after[at] = beyond = after[right]
+            if beyond < n:
+                before[beyond] = at
+                if (rank := rank_of(pair + parts[beyond])) is not None:
+                    heapq.heappush(heap, rank << 40 | at)
+            left = before[at]
+            if left >= 0 and (rank := rank_of(parts[left] + pair)) is not None:
+                heapq.heappush(heap, rank << 40 | left)
+        return np.array([self.ranks[part] for part in parts if part], np.int32).tobytes()
+
     def _merge(self, pieces: list[bytes], width: int) -> list[bytes]:
         lengths = np.array([len(p) for p in pieces])
         joined = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]

@@ -10,6 +10,7 @@ is in the table of parts.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,9 @@ from nimbra.llm.library_tokens import library_encoder, vocabulary_size
 from nimbra.scratch import new_folder
 
 BLOCK_IDS = 1 << 16
+#: Text of a part, about, and the ids of a sample that are looked at to cut one off.
+PART_BYTES = 128 << 20
+SAMPLED_IDS = 30
 
 
 def bits_for(vocabulary: int) -> int:
@@ -48,21 +52,40 @@ def unpack_bits(payload: bytes, width: int, start: int, end: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype("<u4")
 
 
+def _cuts(plain: DataFrame) -> list:
+    """Ids at which a part ends and the next one begins, in order."""
+    rows, size = plain.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(plain.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    named = plain.select("id").where(F.col("id").isNotNull())
+    share = min(1.0, SAMPLED_IDS * parts / max(1, rows))
+    found = sorted(row["id"] for row in named.sample(share, seed=4).collect() if row["id"] == row["id"])
+    return [found[len(found) * i // parts] for i in range(1, parts)] if found else []
+
+
+def _places(cuts: list, key) -> tuple[int, int]:
+    """The first and the last part that may hold ``key``: nulls come first, what is not a number last."""
+    if key is None:
+        return 0, 0
+    if key != key:
+        return len(cuts), len(cuts)
+    return bisect_left(cuts, key), bisect_right(cuts, key)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> None:
     """Encode every text (null: empty), append ``end_id`` to each, and write them in
     ascending order of ids (null first; rows of one id in any order, none lost).
 
-    Part boundaries are quantiles of the ids. Rows of an id that spans several
-    boundaries are dealt over all the parts between them, so a repeated id does
-    not make a large part.
+    Ids are of any type that has an order, and are compared as they are. Parts hold about
+    ``PART_BYTES`` of text; their boundaries are ids, quantiles of a sample of
+    ``SAMPLED_IDS`` ids a part. Rows of an id that spans several boundaries are dealt over
+    all the parts between them, so a repeated id does not make a large part.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cuts = np.array(plain.stat.approxQuantile("id", [i / parts for i in range(1, parts)], 1 / (8 * parts)))
+    spark, cuts = docs.sparkSession, _cuts(plain)
+    parts = len(cuts) + 1
     width = bits_for(max(vocabulary_size(tokenizer), end_id + 1))
     narrow = "<u2" if width <= 16 else "<u4"
     ending = np.array([end_id], "<u4").tobytes()
@@ -74,12 +97,10 @@ def write_token_files(
                 np.frombuffer(got + ending, "<u4").astype(narrow).tobytes()
                 for got in encoder.encode(texts_of(batch, "text"))
             ]
-            keys = np.array([np.nan if k is None else float(k) for k in batch.column(0).to_pylist()])
-            low, high = np.searchsorted(cuts, keys, "left"), np.searchsorted(cuts, keys, "right")
-            nulls = np.isnan(keys)
-            low, high = np.where(nulls, 0, low), np.where(nulls, 0, high)
-            part = low + (turn + np.arange(len(keys))) % (high - low + 1)
-            turn += len(keys)
+            part = []
+            for turn, key in enumerate(batch.column(0).to_pylist(), turn):  # noqa: B020
+                low, high = _places(cuts, key)
+                part.append(low + turn % (high - low + 1))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int32()), batch.column(0), pa.array(ids, pa.binary())], ["part", "id", "ids"]
             )
