@@ -162,13 +162,16 @@ def filter_documents(docs: DataFrame, text_col: str = "text", sample_rows: int =
     has no words and is rejected as too short."""
     rules = base_rules() | more_rules()
     order = cascade_order(docs, rules, text_col, sample_rows)
-    names = [f"`{name}`" for name in docs.columns]
+    # in one column, so that no name of theirs can be that of a column made here
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("__whole")
     # The row number keeps the filter above the projection that makes the words: pushed
     # below it, the rules would split the text anew for every word.
-    judged = with_words(docs, text_col).select(
-        *names, kept(rules, order).alias("__kept"), F.monotonically_increasing_id().alias("__row")
+    judged = with_words(docs.select(whole, F.col(text_col).alias("text")), "text").select(
+        "__whole", kept(rules, order).alias("__kept"), F.monotonically_increasing_id().alias("__row")
+    )
+    return judged.where(F.col("__kept") & (F.col("__row") >= 0)).select(
+        *[F.col("__whole")[name].alias(name) for name in docs.columns]
     )
-    return judged.where(F.col("__kept") & (F.col("__row") >= 0)).select(*names)
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -187,7 +190,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
         n_dup_lines(text).alias("n_dup_lines"),
         n_repeat_words("__words").alias("n_repeat_words"),
         kept(more, order).alias("__kept"),
-    )
+        F.monotonically_increasing_id().alias("__row"),
+    ).where("__row >= 0")  # so that a filter on the result stays above the words, too
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )

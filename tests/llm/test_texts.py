@@ -184,6 +184,12 @@ def test_quality_rules_equal_sql(spark, hard, nothing):
     assert kept.columns == hard.columns and kept.count() == got.where("kept").count()
 
 
+def test_rules_leave_columns_of_any_name_alone(spark):
+    text = " ".join(f"unlike{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, text, "mine", [1])], "doc_id int, text string, __text string, __words array<int>")
+    assert op6_quality_rules.filter_documents(docs).collect() == docs.collect()
+
+
 def test_the_order_of_rules_changes_no_verdict(spark):
     text = "one two three four five six seven eight nine ten " * 3 + "unlike words follow here " + " ".join(map(str, range(60)))
     docs = op6_quality_rules.with_words(spark.createDataFrame([(1, text), (2, text.upper()), (3, "#| " * 90)], "doc_id int, text string"))
