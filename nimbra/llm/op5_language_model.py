@@ -310,7 +310,11 @@ def _bucket_totals(counts: DataFrame, classes: np.ndarray, bits: int) -> np.ndar
 
 
 def _round(model: Model, training: DataFrame) -> None:
-    """One round of updates over ``training``: from the model's weights to their average."""
+    """One round of updates over ``training``: from the model's weights to their average.
+
+    There are as many tasks as cores: a task's weights are as many rows however much it has
+    read, so what is shuffled depends on the cores and not on the corpus."""
+    training = training.coalesce(training.sparkSession.sparkContext.defaultParallelism)
     weights, squares, classes, bits, priors = model.weights, model.squares, model.classes, model.bits, model.starts
     columns = [f"w{c}" for c in range(CLASSES)]
 
@@ -407,18 +411,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     made = docs.mapInArrow(run, f"id {kind}, n_tokens bigint, n_known bigint, logs double, contextual double, rare array<string>")
     made = materialize(made.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
-    # one row for the document, with a null word, and one for each of its rarer tokens
-    words = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("rare")))
-    flat = made.select("row", words.alias("word"), *("id n_tokens n_known logs contextual".split()))
-    whole = F.col("word").isNull()
-    flat = flat.select("row", "word", *(F.when(whole, F.col(c)).alias(c) for c in "id n_tokens n_known logs contextual".split()))
-    joined = flat.join(counts.where("word IS NOT NULL").withColumnRenamed("n", "count"), "word", "left")
-    summed = joined.groupBy("row").agg(
-        F.max("id").alias("id"),
-        F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.count("count")).alias("n_known"),
-        (F.max("logs") + F.coalesce(F.sum(F.log10(F.col("count") + 1)), F.lit(0.0))).alias("logs"),
-        F.max("contextual").alias("contextual"),
+    # only rarer tokens are joined to their counts; their sums go back to the document's row
+    rare = made.select("row", F.explode("rare").alias("word")).join(
+        counts.where("word IS NOT NULL").withColumnRenamed("n", "count"), "word"
+    )
+    sums = rare.groupBy("row").agg(
+        F.count("*").alias("rare_known"), F.sum(F.log10(F.col("count") + 1)).alias("rare_logs")
+    )
+    summed = made.drop("rare").join(sums, "row", "left").select(
+        "id",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        (F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))).alias("logs"),
+        "contextual",
     )
     return summed.select(
         F.col("id").alias(id_col),
