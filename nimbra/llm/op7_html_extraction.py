@@ -5,13 +5,15 @@ the like go by element, role and class, unless they hold the article itself. Eac
 block passes points for its length and commas to its ancestors, less the further up;
 an element's points are discounted by the share of its text that is links. The best
 element, widened to the article or main element around it, is kept with those of its
-siblings that score well or read as text, without lists that are mostly links.
+siblings that score well or read as text. Inside it, a list of links goes where its class,
+role or heading says that it leads elsewhere; a list of references stays.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,9 +31,13 @@ SIBLING_SHARE = 0.2
 SIBLING_POINTS = 10
 LINKED_LIST_DENSITY = 0.5
 SIBLING_TEXT = 80
+MOST_ANNOUNCING = 60
 SIBLING_DENSITY = 0.25
 
-RAW = frozenset(["script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "select", "object"])
+#: Elements whose content is not read. Without an end tag the first ones reach to the end of
+#: the page, as their content is no markup; the others are passed over then.
+PLAIN = frozenset(["script", "style", "textarea", "title"])
+RAW = PLAIN | frozenset(["noscript", "template", "iframe", "svg", "select"])
 VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"])
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 BLOCKS = HEADINGS | frozenset(
@@ -58,6 +64,16 @@ UNWANTED = re.compile(
     r"related|recommend\w*|shar(?:e|es|ing)|social|menu|nav|navbar|navigation|breadcrumbs?|footer|foot|masthead|topbar|"
     r"toolbar|login|signup|widgets?|pagination|pager|complementary|contentinfo|search|alert|dialog|outbrain|taboola|teasers?"
 )
+#: Headings of link lists that are no part of the article, in en, de, fr and es.
+RELATED = re.compile(
+    r"(?:related|read (?:more|next|also)|more (?:from|on|stories|articles|like)|see also|you (?:may|might) also|most read|popular|trending|"
+    r"recommended|latest|mehr zum|mehr (?:aus|von)|lesen sie auch|auch interessant|das könnte|meistgelesen|verwandte|"
+    r"à lire|lire aussi|voir aussi|articles? (?:liés|similaires)|sur le même|les plus lus|relacionad\w*|artículos relacionados|"
+    r"más (?:noticias|leíd\w*|sobre)|leer? (?:más|también)|te puede interesar|lo más)\b",
+    re.I,
+)
+#: How a sentence ends: what stands so in an article's own header is its standfirst.
+SENTENCE_END = re.compile(r"[.!?…。！？][\"'”’»)]*\Z")
 OWN_HEADER = frozenset(["article", "entry", "post", "content", "story"])
 
 _TOKEN = re.compile(
@@ -74,11 +90,13 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.attributes = ["#root"], [0], [""]
+        self.block_of = [0]  # the nearest block element, itself included
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
         self._parse(source)
 
     def _parse(self, source: str) -> None:
         stack, parts, at, linked, links = [0], [], 0, 0, 0
+        opened: Counter[str] = Counter()  # elements of each name in the stack
 
         def flush() -> None:
             nonlocal parts, linked
@@ -86,14 +104,15 @@ class Page:
                 text = " ".join("".join(parts).split())
                 if text:
                     # an inline element may still be open: the block is its nearest block element's
-                    owner = next(n for n in reversed(stack) if n == 0 or self.tag[n] in BLOCKS)
-                    self.blocks.append((owner, text, min(linked, len(text))))
+                    self.blocks.append((self.block_of[stack[-1]], text, min(linked, len(text))))
             parts, linked = [], 0
 
         def pop(to: int) -> None:
             nonlocal links
             while len(stack) > to:
-                if self.tag[stack.pop()] == "a":
+                name = self.tag[stack.pop()]
+                opened[name] -= 1
+                if name == "a":
                     links -= 1
 
         def text(until: int) -> None:
@@ -117,10 +136,12 @@ class Page:
                 continue
             name = found[2].lower()
             if found[1]:
-                if name == "br" or name == "p" and not any(self.tag[n] == "p" for n in stack):
+                if name == "br" or name == "p" and not opened["p"]:
                     parts.append(" ")
                     continue
-                place = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == name), None)
+                place = None
+                if opened[name]:
+                    place = next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == name)
                 if name in BLOCKS:
                     flush()
                 if place is not None and not (
@@ -128,14 +149,17 @@ class Page:
                 ):
                     pop(place)
                 elif place is not None:  # an inline end inside a later block: that element ends alone
-                    if self.tag[stack[place]] == "a":
+                    if name == "a":
                         links -= 1
+                    opened[name] -= 1
                     del stack[place]
                 continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
-                if not found[3].rstrip().endswith("/"):
-                    at = end.end() if end else len(source)
+                if end and not found[3].rstrip().endswith("/"):
+                    at = end.end()
+                elif name in PLAIN:
+                    at = len(source)
                 parts.append(" ")
                 continue
             if name in VOID:
@@ -146,12 +170,11 @@ class Page:
                 continue
             if name in BLOCKS:
                 flush()
-                inner = next((i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == "p"), None)
-                if inner is not None:  # a block ends an open paragraph, and what it held
-                    pop(inner)
+                if opened["p"]:  # a block ends an open paragraph, and what it held
+                    pop(next(i for i in range(len(stack) - 1, 0, -1) if self.tag[stack[i]] == "p"))
                 group, limits = ENDS.get(name, (frozenset(), frozenset()))
                 for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] in limits:
+                    if not any(opened[other] for other in group) or self.tag[stack[i]] in limits:
                         break
                     if self.tag[stack[i]] in group:
                         pop(i)
@@ -160,8 +183,10 @@ class Page:
             self.tag.append(name)
             self.parent.append(stack[-1])
             self.attributes.append(found[3])
+            self.block_of.append(len(self.tag) - 1 if name in BLOCKS else self.block_of[stack[-1]])
             if not (found[3].endswith("/") and name not in BLOCKS):
                 stack.append(len(self.tag) - 1)
+                opened[name] += 1
             elif name == "a":
                 links -= 1
         flush()
@@ -253,6 +278,8 @@ def main_text(source: str) -> str:
             break
         up = parent[up]
 
+    announced = _announced(page)
+    related = {i for followers in announced.values() for i in followers}
     keep = [False] * n
     keep[best] = True
     if best:
@@ -270,10 +297,38 @@ def main_text(source: str) -> str:
             keep[i] = False
         elif keep[parent[i]]:
             linked_list = tag[i] in ("ul", "ol", "div", "section", "table", "dl") and anchors[i] > 1 and density(i) > LINKED_LIST_DENSITY
-            keep[i] = not linked_list
-    return "\n\n".join(
-        text for owner, text, _ in page.blocks if keep[owner] and (not titles[owner] or tag[owner] in HEADINGS)
-    )
+            keep[i] = not (linked_list and i in related)
+    for heading, followers in announced.items():  # a heading goes with what it announced
+        if any(not keep[i] for i in followers) and not any(keep[i] and chars[i] for i in followers):
+            keep[heading] = False
+
+    def stands(owner: int, text: str, in_links: int) -> bool:
+        """Of an article's own header, its headings and standfirst are text, and bylines are not."""
+        if not titles[owner] or tag[owner] in HEADINGS:
+            return True
+        return len(text) >= LEAST_PARAGRAPH and not in_links and SENTENCE_END.search(text) is not None
+
+    return "\n\n".join(text for owner, text, in_links in page.blocks if keep[owner] and stands(owner, text, in_links))
+
+
+def _announced(page: Page) -> dict[int, list[int]]:
+    """By heading (or short line) that announces other articles: the elements after it at its own
+    level, up to the next heading; if there is none before, its parent too."""
+    out: dict[int, list[int]] = {}
+    by_parent: dict[int, list[int]] = {}
+    for i in range(1, len(page.tag)):
+        by_parent.setdefault(page.parent[i], []).append(i)
+    for owner, text, _ in page.blocks:
+        if owner and len(text) <= MOST_ANNOUNCING and RELATED.match(text):
+            siblings = by_parent[page.parent[owner]]
+            at = siblings.index(owner)
+            followers = []
+            for other in siblings[at + 1 :]:
+                if page.tag[other] in HEADINGS:
+                    break
+                followers.append(other)
+            out[owner] = followers + [page.parent[owner]] * (at == 0)
+    return out
 
 
 def _path(parent: list[int], i: int) -> Iterator[int]:

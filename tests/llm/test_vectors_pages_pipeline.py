@@ -89,4 +89,4 @@ def test_stages_chain_and_keep_columns(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in catalog.QUERIES) == list(range(1, 14))
