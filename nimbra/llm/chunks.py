@@ -23,6 +23,8 @@ _SIMPLE = re.compile(f"( ?{_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 #: The longest chunk that is remembered beyond a call.
 LONGEST_KEPT = 64
+#: Characters of the texts that are cut into chunks at a time.
+GROUP_CHARS = 1_000_000
 
 
 class ChunkEncoder:
@@ -40,6 +42,16 @@ class ChunkEncoder:
         self.chars = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        out, group, chars = [], [], 0
+        for at, text in enumerate(texts):
+            group.append(text)
+            chars += len(text)
+            if chars >= GROUP_CHARS or at + 1 == len(texts):
+                out += self._encode(group)
+                group, chars = [], 0
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         if self.chars > self.kept_chars:
             self.first, self.later, self.chars = {}, {}, 0
         first, later = self.first, self.later
@@ -71,8 +83,13 @@ class ChunkEncoder:
         """Values of the chunks that are new; none for one that is empty or has white space at
         an end. Returns the chunks that are too long to be kept."""
         new = list(chunks.difference(known))
-        whole = [chunk for chunk in new if chunk and not (chunk[0].isspace() or chunk[-1].isspace())]
         known.update(dict.fromkeys(new))
+        words = [chunk for chunk in new if chunk.isalpha()]  # letters alone are one match
+        if words:
+            known.update(zip(words, self.encode_matches([before + word for word in words]), strict=True))
+        whole = [
+            chunk for chunk in new if chunk and not (chunk.isalpha() or chunk[0].isspace() or chunk[-1].isspace())
+        ]
         known.update(zip(whole, self._values([before + chunk for chunk in whole]), strict=True))
         self.chars += sum(map(len, new))
         return [chunk for chunk in new if len(chunk) > LONGEST_KEPT]
