@@ -23,7 +23,7 @@ from nimbra.scratch import new_folder
 
 BLOCK_IDS = 1 << 16
 #: Text of a part, about, and the ids of a sample that are looked at to cut one off.
-PART_BYTES = 128 << 20
+PART_BYTES = 32 << 20
 SAMPLED_IDS = 30
 
 
