@@ -9,7 +9,11 @@ distinct chunk encoded once; ids of a text are the ids of its chunks in order.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -24,21 +28,26 @@ _SIMPLE = re.compile(f"( ?{_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 #: The longest chunk that is remembered beyond a call.
 LONGEST_KEPT = 64
 #: Characters of the texts that are cut into chunks at a time.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 4_000_000
+#: How ids are written in values.
+ID_TYPE, ID_BYTES = np.dtype("<u4"), 4
 
 
 class ChunkEncoder:
     """Encodes texts through two functions from a list of strings to one bytes object each:
     ``encode_matches`` for strings that the pattern matches whole, ``encode_any`` for others.
-    Results of chunks are remembered. Chunks but the first of a text follow a space."""
+    The chunks of about ``GROUP_CHARS`` characters are numbered together, and the ids of their
+    texts are gathered from the ids of the distinct chunks. Results of chunks are remembered. Chunks but the first of a text follow a space."""
 
-    #: Characters of the chunks that a Python worker remembers before it starts anew.
+    #: Characters of the chunks that a Python worker remembers, in two generations: when the
+    #: newer one is full, the older one goes, but for the chunks that were met again meanwhile.
     kept_chars = 4_000_000
 
     def __init__(self, encode_matches: Callable[[list[str]], list[bytes]], encode_any: Callable[[list[str]], list[bytes]]):
         self.encode_matches, self.encode_any = encode_matches, encode_any
         self.first: dict[str, bytes | None] = {}
         self.later: dict[str, bytes | None] = {}
+        self.old_first, self.old_later = self.first, self.later
         self.chars = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -52,54 +61,103 @@ class ChunkEncoder:
         return out
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if self.chars > self.kept_chars:
+        if 2 * self.chars > self.kept_chars:
+            self.old_first, self.old_later = self.first, self.later
             self.first, self.later, self.chars = {}, {}, 0
         first, later = self.first, self.later
-        cut = []
-        for text in texts:
-            head, *tail = text.split(" ")
-            cut.append((head, tail))
-        long = [(first, self._learn(first, {head for head, _ in cut}, ""))]
-        long.append((later, self._learn(later, set().union(*[tail for _, tail in cut]), " ")))
-        out, of, odd = [], later.__getitem__, []
-        for i, (head, tail) in enumerate(cut):
-            try:
-                out.append(b"".join([first[head], *map(of, tail)]))
-            except TypeError:  # where spaces meet other white space, a chunk has no value of its own
-                out.append(b"")
-                odd.append(i)
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        begin = cut.offsets.to_numpy()
+        heads, after = begin[:-1], np.ones(len(cut.values), bool)
+        after[heads] = False
+        head = cut.values.take(pa.array(heads)).to_numpy(zero_copy_only=False).tolist()
+        tails = cut.values.filter(pa.array(after)).dictionary_encode()
+        tail = tails.dictionary.to_numpy(zero_copy_only=False).tolist()
+        long = [(first, self._learn(first, self.old_first, set(head), ""))]
+        long.append((later, self._learn(later, self.old_later, tail, " ")))
+        values = [*map(later.__getitem__, tail), *map(first.__getitem__, head)]
         for known, chunks in long:
             for chunk in chunks:
                 del known[chunk]
-        if odd:
+        # the number of each chunk's value, in the order of the texts
+        of = np.empty(len(after), np.int64)
+        of[after] = tails.indices.to_numpy()
+        of[heads] = np.arange(len(tail), len(values))
+        # where spaces meet other white space, a chunk has no value of its own
+        none = np.fromiter((value is None for value in values), bool, len(values))
+        odd = np.flatnonzero(np.logical_or.reduceat(none[of], heads))
+        values = [value or b"" for value in values]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // ID_BYTES
+        ids = np.frombuffer(b"".join(values), ID_TYPE)
+        del values
+        starts, sizes = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        ends = np.cumsum(sizes)
+        place = np.repeat(starts - ends + sizes, sizes)
+        place += np.arange(len(place))
+        raw = ids[place].tobytes()
+        ends = (ends[begin[1:] - 1] * ID_BYTES).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        if len(odd):
             parts = [_CUT.split(texts[i]) for i in odd]
             chunks = list({p[0] for p in parts} | {" " + chunk for p in parts for chunk in p[1:]})
-            values = dict(zip(chunks, self.encode_any(chunks), strict=True))
+            found = dict(zip(chunks, self.encode_any(chunks), strict=True))
             for i, p in zip(odd, parts, strict=True):
-                out[i] = b"".join([values[p[0]], *(values[" " + chunk] for chunk in p[1:])])
+                out[i] = b"".join([found[p[0]], *(found[" " + chunk] for chunk in p[1:])])
         return out
 
-    def _learn(self, known: dict[str, bytes | None], chunks: set[str], before: str) -> list[str]:
-        """Values of the chunks that are new; none for one that is empty or has white space at
-        an end. Returns the chunks that are too long to be kept."""
-        new = list(chunks.difference(known))
-        known.update(dict.fromkeys(new))
-        words = [chunk for chunk in new if chunk.isalpha()]  # letters alone are one match
+    def _learn(self, known: dict[str, bytes | None], old: dict[str, bytes | None], chunks: Iterable[str], before: str) -> list[str]:
+        """Values of the distinct ``chunks`` that are new; none for one that is empty or has white
+        space at an end. Returns the chunks that are too long to be kept."""
+        new, words, whole = [], [], []
+        for chunk in chunks:
+            if chunk in known:
+                continue
+            new.append(chunk)
+            if chunk in old:
+                known[chunk] = old[chunk]
+            elif chunk.isalpha():  # letters alone are one match
+                words.append(chunk)
+            elif chunk and not (chunk[0].isspace() or chunk[-1].isspace()):
+                whole.append(chunk)
+            else:
+                known[chunk] = None
+        self.chars += sum(map(len, new))
         if words:
             known.update(zip(words, self.encode_matches([before + word for word in words]), strict=True))
-        whole = [
-            chunk for chunk in new if chunk and not (chunk.isalpha() or chunk[0].isspace() or chunk[-1].isspace())
-        ]
-        known.update(zip(whole, self._values([before + chunk for chunk in whole]), strict=True))
-        self.chars += sum(map(len, new))
+        if whole:
+            known.update(zip(whole, self._values([before + chunk for chunk in whole]), strict=True))
         return [chunk for chunk in new if len(chunk) > LONGEST_KEPT]
 
     def _values(self, chunks: list[str]) -> list[bytes]:
         find = _SIMPLE.fullmatch
         split = [found.groups("") if (found := find(chunk)) else None for chunk in chunks]
-        matches = list({part for parts in split if parts for part in parts if part})
-        of = dict(zip(matches, self.encode_matches(matches), strict=True)) if matches else {}
-        of[""] = b""
+        of = self._matches(set().union(*filter(None, split)))
         others = [chunk for chunk, parts in zip(chunks, split, strict=True) if parts is None]
-        rest = iter(self.encode_any(others))
-        return [next(rest) if parts is None else b"".join([of[part] for part in parts]) for parts in split]
+        rest = iter(self.encode_any(others) if others else [])
+        out = []
+        for parts in split:
+            if parts is None:
+                out.append(next(rest))
+            else:
+                word, marks, line, second, more = parts
+                out.append(of[word] + of[marks] + of[line] + of[second] + of[more] if line else of[word] + of[marks])
+        return out
+
+    def _matches(self, matches: set[str]) -> dict[str, bytes]:
+        """Values of strings that the pattern matches whole. They are chunks as well, and are
+        remembered as such."""
+        out, new = {}, []
+        for match in matches:
+            chunk, known, old = (match[1:], self.later, self.old_later) if match[:1] == " " else (match, self.first, self.old_first)
+            value = known.get(chunk) or old.get(chunk)
+            if value is None:
+                new.append(match)
+            else:
+                out[match] = value
+        out.update(zip(new, self.encode_matches(new) if new else [], strict=True))
+        out[""] = b""
+        for match in new:
+            if match and match != "\n" and len(match) <= LONGEST_KEPT:
+                chunk, known = (match[1:], self.later) if match[0] == " " else (match, self.first)
+                known[chunk] = out[match]
+                self.chars += len(match)
+        return out
