@@ -27,8 +27,6 @@ _SIMPLE = re.compile(f"( ?{_LETTERS})({_MARKS})(?:(\n)({_LETTERS})({_MARKS}))?")
 
 #: The longest chunk that is remembered beyond a call.
 LONGEST_KEPT = 64
-#: Characters of the texts that are cut into chunks at a time.
-GROUP_CHARS = 4_000_000
 #: How ids are written in values.
 ID_TYPE, ID_BYTES = np.dtype("<u4"), 4
 
@@ -36,12 +34,14 @@ ID_TYPE, ID_BYTES = np.dtype("<u4"), 4
 class ChunkEncoder:
     """Encodes texts through two functions from a list of strings to one bytes object each:
     ``encode_matches`` for strings that the pattern matches whole, ``encode_any`` for others.
-    The chunks of about ``GROUP_CHARS`` characters are numbered together, and the ids of their
+    The chunks of about ``group_chars`` characters are numbered together, and the ids of their
     texts are gathered from the ids of the distinct chunks. Results of chunks are remembered. Chunks but the first of a text follow a space."""
 
     #: Characters of the chunks that a Python worker remembers, in two generations: when the
     #: newer one is full, the older one goes, but for the chunks that were met again meanwhile.
     kept_chars = 4_000_000
+    #: Characters of the texts that are cut into chunks at a time.
+    group_chars = 1_000_000
 
     def __init__(self, encode_matches: Callable[[list[str]], list[bytes]], encode_any: Callable[[list[str]], list[bytes]]):
         self.encode_matches, self.encode_any = encode_matches, encode_any
@@ -55,7 +55,7 @@ class ChunkEncoder:
         for at, text in enumerate(texts):
             group.append(text)
             chars += len(text)
-            if chars >= GROUP_CHARS or at + 1 == len(texts):
+            if chars >= self.group_chars or at + 1 == len(texts):
                 out += self._encode(group)
                 group, chars = [], 0
         return out

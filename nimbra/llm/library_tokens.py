@@ -14,7 +14,7 @@ from nimbra.llm.chunks import ChunkEncoder
 class LibraryEncoder(ChunkEncoder):
     """Texts that hold the content of an added token are encoded whole, as the library does."""
 
-    kept_chars = 6_000_000
+    kept_chars, group_chars = 6_000_000, 4_000_000
 
     def __init__(self, encode_matches, encode_any, added: list[str]):
         super().__init__(encode_matches, encode_any)
