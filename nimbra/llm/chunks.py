@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 # --- fixed value: the splitting pattern for which all of this holds ---
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -97,7 +97,7 @@ class ChunkEncoder:
         ends = (ends[begin[1:] - 1] * ID_BYTES).tolist()
         out = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         if len(odd):
-            parts = [_CUT.split(texts[i]) for i in odd]
+            parts = [CUT.split(texts[i]) for i in odd]
             chunks = list({p[0] for p in parts} | {" " + chunk for p in parts for chunk in p[1:]})
             found = dict(zip(chunks, self.encode_any(chunks), strict=True))
             for i, p in zip(odd, parts, strict=True):

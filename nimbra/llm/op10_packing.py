@@ -191,6 +191,7 @@ def pack(
             yield from finished(last=False)
         packer.pack(last=True)
         yield from finished(last=True)
+        encoder.rest()
 
     key_kind = docs.schema[id_col].dataType
     packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

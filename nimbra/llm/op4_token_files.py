@@ -104,6 +104,7 @@ def write_token_files(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.int32()), batch.column(0), pa.array(ids, pa.binary())], ["part", "id", "ids"]
             )
+        encoder.rest()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = {"part": None, "start": 0, "block": 0}
