@@ -5,12 +5,13 @@ word bucket given class and tokens before, times its share in the bucket. Classe
 others by their endings), forms are described by their neighbours over the whole
 training text, and similar forms make a class. The class is a softmax over hashed
 features: the token before, the two before as a pair, and skips to the second and
-third. A word's bucket is a row of digits, hashed from the word; each digit is a softmax
-over the same features, joined with the class and the digits before it, and starts from
-the count shares of the digits. There are at least four buckets for a distinct word (up
-to 2^20 in all), so most words have one of their own. All weights are trained in rounds: every task makes gradient updates on its
-documents from common weights, and the results are averaged by how often a feature
-was updated.
+third. A word's bucket is a row of bits, hashed from the word; each bit is a softmax of two
+over the same features, joined with the class and the bits before it, and starts from
+the count shares of the bits. Where either bit is met too rarely to learn from, its count
+share stands. There are at least four buckets for a distinct word (up to 2^20 in all), so
+most words have one of their own. All weights are trained in rounds: every task makes
+gradient updates on its documents from common weights, and the results are averaged by the
+squares of the gradients that a weight has met.
 
 A token's share is (c + 1) / (sum of c + 1 over the bucket, + 1 for unknown words), c
 its count in the training text. Counts are a table, joined to the tokens of rarer
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +39,22 @@ HEAD = 1 << 17
 FORMS, NEIGHBOURS = 2048, 256
 CLASSES = 32
 BUCKETS = 1 << 15
-#: Rows of the weights of words, by feature, class and digits before; bits of word buckets in a class.
-WORD_ROWS = 1 << 17
+#: Weights of words, by feature, class and bits before; bits of word buckets in a class.
+WORD_BITS = 22
 LEAST_BITS, MOST_BITS = 5, 15
 ROUNDS = 2
 BATCH = 1024
-RATE = 0.1
+RATE, WORD_RATE = 0.1, 0.15
+#: A bit has weights where the rarer value has this share, and this count, at least.
+LEAST_SHARE, LEAST_COUNT = 0.01, 32
+#: Weights that are sent and added up together.
+BLOCK = 4096
 SEED = 5
 #: Distinct words that a task remembers before it starts anew.
 KEPT_WORDS = 400_000
 
 _START = np.uint64(0x9E3779B97F4A7C15)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _EDGES = ".,;:!?…\"'()[]{}«»“”„|*#$%&"
 
 
@@ -122,10 +129,11 @@ def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return class_features(contexts(hashes, starts))
 
 
-def word_features(found: np.ndarray, level: int, prefix: np.ndarray) -> np.ndarray:
-    """The rows of the features of every token where ``prefix`` (class and digits) is given."""
-    given = mixed(prefix.astype(np.uint64) * np.uint64(16) + np.uint64(level) + _START)
-    return (mixed(found ^ given[:, None]) % np.uint64(WORD_ROWS)).astype(np.int64)
+def word_features(found: np.ndarray, at: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The weights of the features of tokens ``at`` at ``nodes``, a row for each kind of feature;
+    ``found`` has the hashes of the features by kind."""
+    given = mixed(nodes.astype(np.uint64) * np.uint64(16) + _START)
+    return (((found[:, at] ^ given) * _SPREAD) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 def bucket_bits(distinct: int) -> int:
@@ -147,39 +155,83 @@ def prefixes(of: np.ndarray, digits: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
-def class_log_probabilities(weights: np.ndarray, at: np.ndarray, start: np.ndarray | None = None) -> np.ndarray:
-    """Natural logarithms of the class (or digit) probabilities of tokens given by their
-    features; ``start`` is what the sums of weights are added to."""
-    logits = weights[at[:, 0]] if start is None else start + weights[at[:, 0]]
+def class_log_probabilities(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the class probabilities of tokens given by their features."""
+    logits = _softmax_sums(weights, at)
+    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+
+
+def _softmax_sums(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sums of weights of all classes, for tokens given by their features, less the largest."""
+    logits = weights[at[:, 0]]
     for k in range(1, at.shape[1]):
-        logits = logits + weights[at[:, k]]
+        logits += weights[at[:, k]]
     logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
 
 
 class Trainer:
-    """Gradient updates on batches of tokens; the rate of a feature falls with its updates."""
-
-    def __init__(self, weights: np.ndarray, squares: np.ndarray):
-        self.weights, self.squares = weights.copy(), squares.copy()
-        self.updates = np.zeros(len(weights), np.float32)
-
-    def learn(self, at: np.ndarray, classes: np.ndarray, starts: np.ndarray | None = None, given: np.ndarray | None = None) -> None:
-        """``starts`` has the start of the logits for each value of ``given``."""
-        for i in range(0, len(at), BATCH):
-            rows, wanted = at[i : i + BATCH], classes[i : i + BATCH]
-            error = np.exp(class_log_probabilities(self.weights, rows, None if starts is None else starts[given[i : i + BATCH]]))
-            error[np.arange(len(rows)), wanted] -= 1
-            flat = rows.T.ravel()
-            order = np.argsort(flat, kind="stable")
-            ordered = flat[order]
-            first = np.flatnonzero(np.diff(ordered, prepend=-1))
-            touched = ordered[first]
-            times = np.diff(np.concatenate((first, [len(ordered)]))).astype(np.float32)
-            gradient = np.add.reduceat(error[order % len(rows)], first, axis=0)
-            self.squares[touched] += (gradient * gradient).mean(axis=1)
-            self.weights[touched] -= RATE * gradient / np.sqrt(self.squares[touched] + 1e-3)[:, None]
-            self.updates[touched] += times
+    """Gradient updates on batches of tokens; the rate of a weight falls with the gradients that it met."""
+
+    def __init__(self, model: Model):
+        self.model, self.weights, self.squares = model, model.weights.copy(), model.squares.copy()
+        self.classes, self.words = parts_of(self.weights)
+        self.class_squares, self.word_squares = self.squares[:BUCKETS], self.squares[BUCKETS:]
+
+    def learn(self, found: np.ndarray, of: np.ndarray, buckets: np.ndarray) -> None:
+        """Updates by tokens of classes ``of`` and word ``buckets``; ``found`` has their contexts."""
+        for i in range(0, len(of), BATCH):
+            part = slice(i, i + BATCH)
+            self._classes(class_features(found[part]), of[part])
+            self._words(np.ascontiguousarray(found[part].T), buckets[part])
+
+    def _classes(self, rows: np.ndarray, wanted: np.ndarray) -> None:
+        error = np.exp(_softmax_sums(self.classes, rows))
+        error /= error.sum(axis=1, keepdims=True)
+        error[np.arange(len(rows)), wanted] -= 1
+        flat = rows[:, :-1].T.ravel()
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        ordered = flat[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        touched = np.append(ordered[first], BUCKETS - 1)  # the last feature is that of all tokens
+        gradient = np.vstack([np.add.reduceat(error[order % len(rows)], first, axis=0), error.sum(axis=0)])
+        squares = self.class_squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / CLASSES
+        self.class_squares[touched] = squares
+        gradient *= (RATE / np.sqrt(squares + 1e-3))[:, None]
+        self.classes[touched] -= gradient
+
+    def _words(self, found: np.ndarray, buckets: np.ndarray) -> None:
+        at, nodes, bits = self.model.steps(buckets)
+        if not len(at):
+            return
+        rows = word_features(found, at, nodes)
+        logits = self.model.odds[nodes]
+        for row in rows:
+            logits += self.words[row]
+        error = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - bits
+        flat, errors = rows.ravel(), np.tile(error, len(rows)).astype(np.float32)
+        np.add.at(self.word_squares, flat, errors * errors)
+        np.add.at(self.words, flat, errors * (-WORD_RATE / np.sqrt(self.word_squares[flat] + 1)))
+
+    def changes(self) -> Iterator[tuple[int, bytes]]:
+        """(block, values): weights, and what their squares grew by, in 16 bits each."""
+        grown = self.squares - self.model.squares
+        for block, (part, rows) in enumerate(blocks()):
+            t = grown[rows]
+            if t.any():
+                yield block, self.weights[part].astype(np.float16).tobytes() + (t.view(np.uint32) >> 16).astype(np.uint16).tobytes()
+
+
+def parts_of(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of classes, a row for each feature, and those of words."""
+    return weights[: BUCKETS * CLASSES].reshape(BUCKETS, CLASSES), weights[BUCKETS * CLASSES :]
+
+
+def blocks() -> list[tuple[slice, slice]]:
+    """The blocks of weights, and of the squares that belong to them."""
+    n, size, words = BLOCK // CLASSES, BUCKETS * CLASSES, 1 << WORD_BITS
+    of_classes = [(slice(i * CLASSES, (i + n) * CLASSES), slice(i, i + n)) for i in range(0, BUCKETS, n)]
+    return of_classes + [(slice(size + i, size + i + BLOCK), slice(BUCKETS + i, BUCKETS + i + BLOCK)) for i in range(0, words, BLOCK)]
 
 
 def _training(docs: DataFrame, part: int | None = None) -> DataFrame:
@@ -257,35 +309,60 @@ class Model:
         self.head, self.classes, self.tokens, self.distinct = head, classes, tokens, distinct
         self.bits = bucket_bits(distinct)
         self.totals = np.ones(0)
-        self.starts: list[np.ndarray] = []
-        self.weights = np.zeros((BUCKETS + WORD_ROWS, CLASSES), np.float32)
-        self.squares = np.zeros(BUCKETS + WORD_ROWS, np.float32)
+        self.weights = np.zeros(BUCKETS * CLASSES + (1 << WORD_BITS), np.float32)
+        self.squares = np.zeros(BUCKETS + (1 << WORD_BITS), np.float32)
+
+    def without(self, *names: str) -> Model:
+        """A copy to be sent to tasks that do not need these."""
+        out = copy(self)
+        for name in names:
+            setattr(out, name, None)
+        return out
 
     def set_totals(self, totals: np.ndarray) -> None:
-        """Sums of (count + 1) of the word buckets, from which all softmaxes start."""
-        self.totals = totals
-        levels, sums = [], totals
-        while len(sums) > CLASSES:
-            sums = sums.reshape(-1, CLASSES)
-            whole = np.maximum(1e-30, sums.sum(axis=1, keepdims=True))
-            levels.append(np.where(sums > 0, np.log(np.maximum(1e-30, sums / whole)), -1e30).astype(np.float32))
-            sums = sums.sum(axis=1)
-        self.starts = levels[::-1]
-        self.weights[BUCKETS - 1] = np.log(sums / sums.sum())
+        """Sums of (count + 1) of the word buckets, from which all softmaxes start. A node is a
+        class and the bits before a bit: those of no bits first, then those of one, and so on."""
+        self.totals, sums = totals, totals
+        odds, learned, logs = [], [], []
+        with np.errstate(divide="ignore", invalid="ignore"):
+            while len(sums) > CLASSES:
+                two = sums.reshape(-1, 2)
+                rarer, sums = two.min(axis=1), two.sum(axis=1)
+                learned.append((rarer >= LEAST_COUNT) & (rarer >= LEAST_SHARE * sums))
+                odds.append(np.where(learned[-1], np.log(two[:, 1] / two[:, 0]), 0).astype(np.float32))
+            self.shares = np.where(totals > 0, np.log(totals / np.repeat(sums, len(totals) // CLASSES)), -1e30)
+        self.depth = len(odds)
+        self.odds = np.concatenate([np.empty(0, np.float32), *odds[::-1]])
+        self.learned = np.concatenate([np.empty(0, bool), *learned[::-1]])
+        parts_of(self.weights)[0][BUCKETS - 1] = np.log(sums / sums.sum())
+
+    def steps(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bits of word buckets that have weights: whose they are, their nodes and their values."""
+        levels = np.arange(self.depth)
+        nodes = (buckets[:, None] >> (self.depth - levels)) + CLASSES * ((1 << levels) - 1)
+        at, level = np.nonzero(self.learned[nodes])
+        return at, nodes[at, level], (buckets[at] >> (self.depth - 1 - level)) & 1
 
     def log_probabilities(self, hashes: np.ndarray, starts: np.ndarray, of: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
         """Natural logarithms of the probabilities of each token's class and word bucket."""
-        found = contexts(hashes, starts)
-        before = prefixes(of, digits)
-        out = np.empty(len(of))
+        found, buckets = contexts(hashes, starts), prefixes(of, digits)[-1]
+        classes, words = parts_of(self.weights)
+        out = self.shares[buckets]
         for i in range(0, len(of), BATCH):
             part = slice(i, i + BATCH)
-            rows = np.arange(len(of[part]))
-            out[part] = class_log_probabilities(self.weights, class_features(found[part]))[rows, of[part]]
-            for level, digit in enumerate(digits):
-                given = before[level][part]
-                at = word_features(found[part], level, given)
-                out[part] += class_log_probabilities(self.weights[BUCKETS:], at, self.starts[level][given])[rows, digit[part]]
+            logits = _softmax_sums(classes, class_features(found[part]))
+            out[part] += logits[np.arange(len(logits)), of[part]] - np.log(np.exp(logits).sum(axis=1))
+            at, nodes, bits = self.steps(buckets[part])
+            if not len(at):
+                continue
+            # the share of a bit, which is in the bucket's share, gives way to its softmax
+            share = self.odds[nodes]
+            logits = share.copy()
+            for row in word_features(np.ascontiguousarray(found[part].T), at, nodes):
+                logits += words[row]
+            sign = (1 - 2 * bits).astype(np.float32)
+            gain = np.log((1 + np.exp(sign * share)) / (1 + np.exp(np.clip(sign * logits, -80, 80))))
+            out[part] += np.bincount(at, gain, len(buckets[part]))
         return out
 
 
@@ -315,44 +392,40 @@ def _round(model: Model, training: DataFrame) -> None:
     There are as many tasks as cores: a task's weights are as many rows however much it has
     read, so what is shuffled depends on the cores and not on the corpus."""
     training = training.coalesce(training.sparkSession.sparkContext.defaultParallelism)
-    weights, squares, classes, bits, priors = model.weights, model.squares, model.classes, model.bits, model.starts
-    columns = [f"w{c}" for c in range(CLASSES)]
+    classes, bits = model.classes, model.bits
+    sent = model.without("head", "totals", "shares")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trainer, words = Vocabulary(), Trainer(weights[:BUCKETS], squares[:BUCKETS]), Trainer(weights[BUCKETS:], squares[BUCKETS:])
+        known, trainer = Vocabulary(), Trainer(sent)
         for batch in slices(batches, "text"):
             at, starts = known.numbers(texts_of(batch, "text"))
-            found = contexts(known.hashes[at], starts)
-            of, digits = classes[known.forms[at]], word_digits(known.hashes[at], bits)
-            before = prefixes(of, digits)
-            for i in range(0, len(at), 64 * BATCH):
-                part = slice(i, i + 64 * BATCH)
-                trainer.learn(class_features(found[part]), of[part])
-                for level, digit in enumerate(digits):
-                    given = before[level][part]
-                    words.learn(word_features(found[part], level, given), digit[part], priors[level], given)
-        updates = np.concatenate([trainer.updates, words.updates])
-        rows = np.flatnonzero(updates)
-        times = updates[rows]
-        new_squares = np.concatenate([trainer.squares, words.squares])[rows]
-        values = np.concatenate([trainer.weights, words.weights])[rows] * times[:, None]
-        for i in range(0, len(rows), 4096):
-            part = slice(i, i + 4096)
-            arrays = [pa.array(rows[part]), pa.array(times[part]), pa.array(new_squares[part] * times[part])]
-            yield pa.RecordBatch.from_arrays(
-                arrays + [pa.array(values[part, c]) for c in range(CLASSES)], ["row", "times", "squares", *columns]
-            )
-
-    sums = (
-        training.mapInArrow(run, "row bigint, times float, squares float, " + ", ".join(f"{c} float" for c in columns))
-        .groupBy("row")
-        .agg(*(F.sum(c).alias(c) for c in ["times", "squares", *columns]))
-        .toArrow()
-    )
-    rows, times = sums["row"].to_numpy(), sums["times"].to_numpy()
-    model.squares[rows] = sums["squares"].to_numpy() / times
-    for c, name in enumerate(columns):
-        model.weights[rows, c] = sums[name].to_numpy() / times
+            hashes, of = known.hashes[at], classes[known.forms[at]]
+            trainer.learn(contexts(hashes, starts), of, prefixes(of, word_digits(hashes, bits))[-1])
+        for block, values in trainer.changes():
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([values], pa.binary())], ["block", "values"])
+
+    places = blocks()
+
+    def added(changes: pa.Table) -> pa.Table:
+        """Weights times the growth of their squares, and that growth, of all tasks."""
+        part, rows = places[changes["block"][0].as_py()]
+        n, whole = part.stop - part.start, 0
+        for values in changes["values"].to_pylist():
+            t = (np.frombuffer(values, np.uint16, offset=2 * n).astype(np.uint32) << 16).view(np.float32)
+            w = np.frombuffer(values, np.float16, n).astype(np.float32).reshape(len(t), -1) * t[:, None]
+            whole = whole + np.concatenate([w.ravel(), t])
+        return pa.table({"block": changes["block"][:1], "values": pa.array([whole.tobytes()], pa.binary()), "n": [len(changes)]})
+
+    sums = training.mapInArrow(run, "block int, values binary").groupBy("block")
+    sums = sums.applyInArrow(added, "block int, values binary, n bigint").toArrow()
+    for block, values, n in zip(*(column.to_pylist() for column in sums.columns), strict=True):
+        part, rows = places[block]
+        values = np.frombuffer(values, np.float32)
+        size = part.stop - part.start
+        t, old = values[size:], model.weights[part].reshape(rows.stop - rows.start, -1)
+        mean = values[:size].reshape(old.shape) / np.where(t > 0, t, 1)[:, None]
+        model.weights[part] = np.where(t[:, None] > 0, mean, old).ravel()
+        model.squares[rows] += t / n
 
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
@@ -380,16 +453,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     model, counts = fit(docs)
     kind = docs.schema["id"].dataType.simpleString()
-    head, classes = model.head, model.classes
+    head, classes, sent = model.head, model.classes, model.without("head", "squares")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary(head)
         for batch in slices(batches, "text"):
             at, starts = known.numbers(texts_of(batch, "text"))
             of = classes[known.forms[at]]
-            digits = word_digits(known.hashes[at], model.bits)
-            logs = model.log_probabilities(known.hashes[at], starts, of, digits) / np.log(10)
-            contextual = np.add.reduceat(logs - np.log10(model.totals[prefixes(of, digits)[-1]]), starts) if len(starts) else np.empty(0)
+            digits = word_digits(known.hashes[at], sent.bits)
+            logs = sent.log_probabilities(known.hashes[at], starts, of, digits) / np.log(10)
+            contextual = np.add.reduceat(logs - np.log10(sent.totals[prefixes(of, digits)[-1]]), starts) if len(starts) else np.empty(0)
             n = known.counts[at]
             common = n >= 0
             logs = np.add.reduceat(np.where(common, np.log10(np.maximum(n, 0) + 1), 0), starts) if len(starts) else np.empty(0)
