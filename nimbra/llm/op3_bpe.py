@@ -220,19 +220,33 @@ def codec(path: str, pattern: str) -> BytePairCodec:
     return _CODECS[path, pattern]
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], bpe: BytePairCodec) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        ids = bpe.encode(texts_of(batch, "text"))
+        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], bpe: BytePairCodec) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            lists = part.column(1)
+            flat = lists.flatten().to_numpy()
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            texts = [bpe.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.binary())], ["id", "ids", "bytes"])
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every text, null read as empty (no ids). One row for
     each input row, repeated ids included; other columns are not read. No shuffle."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path, pattern)
-        for batch in slices(batches, "text"):
-            ids = bpe.encode(texts_of(batch, "text"))
-            offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["id", "ids"])
+        yield from _encoded(batches, codec(path, pattern))
 
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return plain.mapInArrow(run, f"id {kind}, ids array<int>")
@@ -243,24 +257,30 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     kind = encoded.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = codec(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                lists = part.column(1)
-                flat = lists.flatten().to_numpy()
-                ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
-                texts = [bpe.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.binary())], ["id", "ids", "bytes"])
+        yield from _decoded(batches, codec(path, pattern))
 
     return encoded.mapInArrow(run, f"id {kind}, ids array<int>, bytes binary")
 
 
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode`` makes of ``encode``, in one Python worker for a task instead of two: each
+    worker holds the vocabulary and remembers chunks."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = codec(path, pattern)
+        yield from _decoded(_encoded(batches, bpe), bpe)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
+
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return plain.mapInArrow(run, f"id {kind}, ids array<int>, bytes binary")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    back = decode(encode(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    back = encode_and_decode(table(spark, sf_dir, "documents"), path, pattern)
     return back.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
