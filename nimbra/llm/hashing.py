@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 _BASE = np.uint64(0x100000001B3)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -20,7 +21,19 @@ def word_hashes(words: list[str]) -> np.ndarray:
     """A 64-bit hash for each word."""
     raw = [word.encode("utf-8", "surrogatepass") for word in words]
     lengths = np.array([len(r) for r in raw], np.int64)
-    data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
+    return _hashes(np.frombuffer(b"".join(raw), np.uint8), lengths)
+
+
+def array_hashes(words: pa.Array) -> np.ndarray:
+    """The same hashes, of an Arrow array without nulls."""
+    raw = words.cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int64, len(raw) + 1, raw.offset * 8) if len(raw) else np.zeros(1, np.int64)
+    data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return _hashes(data, np.diff(ends))
+
+
+def _hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    data = data.astype(np.uint64) + np.uint64(1)
     powers = np.ones(int(lengths.max(initial=0)) + 1, np.uint64)
     powers[1:] = _BASE
     powers = np.cumprod(powers, dtype=np.uint64)

@@ -9,9 +9,11 @@ third. A word's bucket is a row of bits, hashed from the word; each bit is a sof
 over the same features, joined with the class and the bits before it, and starts from
 the count shares of the bits. Where either bit is met too rarely to learn from, its count
 share stands. There are at least four buckets for a distinct word (up to 2^20 in all), so
-most words have one of their own. All weights are trained in rounds: every task makes
-gradient updates on its documents from common weights, and the results are averaged by the
-squares of the gradients that a weight has met.
+most words have one of their own. All weights are trained by one step over the whole training
+text, from the count shares: tasks add up what their documents give, and the sums of all tasks
+are exact whatever the tasks. A class weight takes a part of the step of iterative scaling, from
+the counts of its feature and class. A word weight takes a part of Newton's step, from its sums
+of gradient and curvature; overlapping features share what a full step would give to each.
 
 A token's share is (c + 1) / (sum of c + 1 over the bucket, + 1 for unknown words), c
 its count in the training text. Counts are a table, joined to the tokens of rarer
@@ -26,10 +28,11 @@ from copy import copy
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from nimbra.llm.common import fold_of, lower, materialize, slices, table, texts_of, words_of
-from nimbra.llm.hashing import mixed, word_hashes
+from nimbra.llm.common import fold_of, materialize, slices, table
+from nimbra.llm.hashing import array_hashes, mixed
 
 #: The end of a text; no word holds a space.
 END = " "
@@ -42,64 +45,53 @@ BUCKETS = 1 << 15
 #: Weights of words, by feature, class and bits before; bits of word buckets in a class.
 WORD_BITS = 22
 LEAST_BITS, MOST_BITS = 5, 15
-ROUNDS = 2
 BATCH = 1024
-RATE, WORD_RATE = 0.1, 0.15
+#: Parts of a step that are taken, and what a weight must meet before it moves: tokens of the
+#: shares at the start, and curvature. A word weight moves by WORD_MOST at most.
+STEP, PRIOR = 0.6, 50.0
+WORD_STEP, WORD_PRIOR, WORD_MOST = 0.5, 3.0, 2.0
 #: A bit has weights where the rarer value has this share, and this count, at least.
-LEAST_SHARE, LEAST_COUNT = 0.01, 32
+LEAST_SHARE, LEAST_COUNT = 0.1, 200
 #: Weights that are sent and added up together.
 BLOCK = 4096
 SEED = 5
-#: Distinct words that a task remembers before it starts anew.
-KEPT_WORDS = 400_000
+#: Levels of a tree of bits whose weights, of one feature, lie together.
+LEVELS = 3
 
 _START = np.uint64(0x9E3779B97F4A7C15)
-_SPREAD = np.uint64(0xD6E8FEB86659FD93)
+_SPREAD = np.uint32(0x86659FD9)
 _EDGES = ".,;:!?…\"'()[]{}«»“”„|*#$%&"
 
 
-def _forms(words: list[str]) -> np.ndarray:
-    def form(word: str) -> str:
-        core = word.strip(_EDGES)
-        if len(core) <= 4:
-            return word
-        return ("," if word[-1] in _EDGES else "-") + core[-3:]
-
-    return (word_hashes([form(word) for word in words]) % np.uint64(FORMS)).astype(np.int64)
-
-
-class Vocabulary:
-    """Numbers for the words that a task meets, with arrays of what is known of each."""
-
-    def __init__(self, head: dict[str, int] | None = None):
-        self.head = head or {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.words: list[str] = []
-        self.hashes, self.forms, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0)
-
-    def numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The tokens of all texts, an end after each text, and where each text starts."""
-        if len(self.index) > KEPT_WORDS:
-            self._clear()
-        cut = [words_of(lower(text)) for text in texts]
-        index, seen = self.index, len(self.words)
-        parts = []
-        for words in cut:
-            words.append(END)
-            for word in set(words).difference(index):
-                index[word] = len(index)
-                self.words.append(word)
-            parts.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-        new = self.words[seen:]
-        if new:
-            self.hashes = np.concatenate([self.hashes, word_hashes(new)])
-            self.forms = np.concatenate([self.forms, _forms(new)])
-            self.counts = np.concatenate([self.counts, [float(self.head.get(word, -1)) for word in new]])
-        starts = np.cumsum([0, *map(len, parts)])
-        return np.concatenate([np.empty(0, np.int64), *parts]), starts[:-1]
+def _forms(words: pa.Array) -> np.ndarray:
+    core = pc.utf8_trim(words, characters=_EDGES)
+    marked = pc.is_in(pc.utf8_slice_codeunits(words, -1), value_set=pa.array(list(_EDGES), words.type))
+    before = pc.if_else(marked, pa.scalar(",", words.type), pa.scalar("-", words.type))
+    ending = pc.binary_join_element_wise(before, pc.utf8_slice_codeunits(core, -3), pa.scalar("", words.type))
+    forms = pc.if_else(pc.less_equal(pc.utf8_length(core), 4), words, ending)
+    return (array_hashes(forms) % np.uint64(FORMS)).astype(np.int64)
+
+
+class Tokens:
+    """The tokens of texts, an end after each text, as numbers ``at`` of the distinct ``words``, and
+    where each text starts; Arrow lowers, splits and numbers them."""
+
+    def __init__(self, texts: pa.Array):
+        # a copy: Arrow does not lower a cast slice of an array right
+        texts = pc.fill_null(texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string()), "")
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        ends, flat = cut.offsets.to_numpy(), cut.values
+        ends, flat = ends - ends[0], flat.slice(ends[0], ends[-1] - ends[0])
+        real = pc.greater(pc.binary_length(flat), 0)  # what stands before white space at a text's start is empty
+        ends = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))[ends]
+        found = flat.filter(real).dictionary_encode()
+        self.starts = ends[:-1] + np.arange(len(texts))
+        self.at = np.full(ends[-1] + len(texts), len(found.dictionary), np.int64)
+        inside = np.ones(len(self.at), bool)
+        inside[ends[1:] + np.arange(len(texts))] = False
+        self.at[inside] = found.indices.to_numpy()
+        self.words = pa.concat_arrays([found.dictionary, pa.array([END], pa.large_string())])
+        self.hashes, self.forms = array_hashes(self.words), _forms(self.words)
 
 
 def _before(values: np.ndarray, place: np.ndarray, back: int, missing) -> np.ndarray:
@@ -119,6 +111,11 @@ def contexts(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack([mixed(kind + np.uint64(k)) for k, kind in enumerate(kinds)], axis=1)
 
 
+def word_contexts(found: np.ndarray) -> np.ndarray:
+    """What the features of words are told by, a row for each kind."""
+    return np.ascontiguousarray((found >> np.uint64(32)).astype(np.uint32).T)
+
+
 def class_features(found: np.ndarray) -> np.ndarray:
     """The buckets of the features of every token; the last bucket is constant."""
     buckets = (found % np.uint64(BUCKETS - 1)).astype(np.int64)
@@ -129,13 +126,6 @@ def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return class_features(contexts(hashes, starts))
 
 
-def word_features(found: np.ndarray, at: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """The weights of the features of tokens ``at`` at ``nodes``, a row for each kind of feature;
-    ``found`` has the hashes of the features by kind."""
-    given = mixed(nodes.astype(np.uint64) * np.uint64(16) + _START)
-    return (((found[:, at] ^ given) * _SPREAD) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-
-
 def bucket_bits(distinct: int) -> int:
     """Bits of the word buckets of a class: four buckets or more for a distinct word."""
     return min(MOST_BITS, max(LEAST_BITS, 2 + math.ceil(math.log2(max(1, distinct) / CLASSES))))
@@ -163,63 +153,70 @@ def class_log_probabilities(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _softmax_sums(weights: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of weights of all classes, for tokens given by their features, less the largest."""
-    logits = weights[at[:, 0]]
+    logits = weights.take(at[:, 0], axis=0)
     for k in range(1, at.shape[1]):
-        logits += weights[at[:, k]]
+        logits += weights.take(at[:, k], axis=0)
     logits -= logits.max(axis=1, keepdims=True)
     return logits
 
 
 class Trainer:
-    """Gradient updates on batches of tokens; the rate of a weight falls with the gradients that it met."""
+    """Adds up what texts give to the weights, at the weights that a model starts from."""
 
     def __init__(self, model: Model):
-        self.model, self.weights, self.squares = model, model.weights.copy(), model.squares.copy()
-        self.classes, self.words = parts_of(self.weights)
-        self.class_squares, self.word_squares = self.squares[:BUCKETS], self.squares[BUCKETS:]
+        self.model = model
+        self.counts = np.zeros(BUCKETS * CLASSES, np.int64)
+        self.sums = np.zeros(1 << WORD_BITS, np.complex128)
+        # gradient and curvature of a bit of a node, which are met together and so lie together
+        share = 1 / (1 + np.exp(-model.odds.astype(np.float64)))
+        curvature = 1j * share * (1 - share)
+        self.gives = np.stack([curvature - share, curvature - share + 1], 1).ravel().astype(np.complex64)
+
+    @property
+    def weights(self) -> np.ndarray:
+        out = self.model.weights.copy()
+        values = np.concatenate([self.counts, self.sums.astype(np.complex64).view(np.float32)])
+        for _, part, learned in blocks():
+            out[part] = stepped(self.model, part, values[learned])[0]
+        return out
 
     def learn(self, found: np.ndarray, of: np.ndarray, buckets: np.ndarray) -> None:
-        """Updates by tokens of classes ``of`` and word ``buckets``; ``found`` has their contexts."""
+        """Tokens of classes ``of`` and word ``buckets``; ``found`` has their contexts."""
+        kinds, sums = word_contexts(found), np.zeros(1 << WORD_BITS, np.complex64)
         for i in range(0, len(of), BATCH):
             part = slice(i, i + BATCH)
-            self._classes(class_features(found[part]), of[part])
-            self._words(np.ascontiguousarray(found[part].T), buckets[part])
-
-    def _classes(self, rows: np.ndarray, wanted: np.ndarray) -> None:
-        error = np.exp(_softmax_sums(self.classes, rows))
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(rows)), wanted] -= 1
-        flat = rows[:, :-1].T.ravel()
-        order = np.argsort(flat.astype(np.uint16), kind="stable")
-        ordered = flat[order]
-        first = np.flatnonzero(np.diff(ordered, prepend=-1))
-        touched = np.append(ordered[first], BUCKETS - 1)  # the last feature is that of all tokens
-        gradient = np.vstack([np.add.reduceat(error[order % len(rows)], first, axis=0), error.sum(axis=0)])
-        squares = self.class_squares[touched] + np.einsum("ij,ij->i", gradient, gradient) / CLASSES
-        self.class_squares[touched] = squares
-        gradient *= (RATE / np.sqrt(squares + 1e-3))[:, None]
-        self.classes[touched] -= gradient
-
-    def _words(self, found: np.ndarray, buckets: np.ndarray) -> None:
-        at, nodes, bits = self.model.steps(buckets)
-        if not len(at):
-            return
-        rows = word_features(found, at, nodes)
-        logits = self.model.odds[nodes]
-        for row in rows:
-            logits += self.words[row]
-        error = 1 / (1 + np.exp(-np.clip(logits, -30, 30))) - bits
-        flat, errors = rows.ravel(), np.tile(error, len(rows)).astype(np.float32)
-        np.add.at(self.word_squares, flat, errors * errors)
-        np.add.at(self.words, flat, errors * (-WORD_RATE / np.sqrt(self.word_squares[flat] + 1)))
+            rows = class_features(found[part])
+            np.add.at(self.counts, (rows * CLASSES + of[part, None]).ravel(), 1)
+            at, nodes, bits = self.model.steps(buckets[part])
+            gives = self.gives[2 * nodes + bits]
+            for places in self.model.places(kinds[:, part], at, nodes):
+                np.add.at(sums, places, gives)
+        self.sums += sums
 
     def changes(self) -> Iterator[tuple[int, bytes]]:
-        """(block, values): weights, and what their squares grew by, in 16 bits each."""
-        grown = self.squares - self.model.squares
-        for block, (part, rows) in enumerate(blocks()):
-            t = grown[rows]
-            if t.any():
-                yield block, self.weights[part].astype(np.float16).tobytes() + (t.view(np.uint32) >> 16).astype(np.uint16).tobytes()
+        """(block, values): counts of features and classes, or sums of gradients and curvatures."""
+        sums = self.sums.astype(np.complex64).view(np.float32)
+        for block, (_, _, learned) in enumerate(blocks()):
+            size = len(self.counts)
+            values = self.counts[learned].astype(np.float32) if learned.stop <= size else sums[learned.start - size : learned.stop - size]
+            if values.any():
+                yield block, values.tobytes()
+
+
+def stepped(model: Model, part: slice, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The weights of a block after the step, by what was added up for them, and what they met of
+    it: the tokens of each feature, or the curvature of each weight."""
+    if part.start < BUCKETS * CLASSES:
+        counts, start = values.reshape(-1, CLASSES).astype(np.float64), parts_of(model.weights)[0][BUCKETS - 1].astype(np.float64)
+        shares, met = np.exp(start) / np.exp(start).sum(), counts.sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            step = np.log((counts + PRIOR * shares) / (shares * (met[:, None] + PRIOR)))
+        new = STEP * np.where(shares > 0, step, 0)
+        if part.stop == BUCKETS * CLASSES:  # the constant feature has the shares at the start
+            new[-1] = start
+        return new.ravel(), met
+    sums = values.reshape(-1, 2)
+    return np.clip(WORD_STEP * sums[:, 0] / (sums[:, 1] + WORD_PRIOR), -WORD_MOST, WORD_MOST), sums[:, 1]
 
 
 def parts_of(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,19 +224,16 @@ def parts_of(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weights[: BUCKETS * CLASSES].reshape(BUCKETS, CLASSES), weights[BUCKETS * CLASSES :]
 
 
-def blocks() -> list[tuple[slice, slice]]:
-    """The blocks of weights, and of the squares that belong to them."""
+def blocks() -> list[tuple[slice, slice, slice]]:
+    """The blocks of weights: of what they met, of themselves, and of the values that they are learned from."""
     n, size, words = BLOCK // CLASSES, BUCKETS * CLASSES, 1 << WORD_BITS
-    of_classes = [(slice(i * CLASSES, (i + n) * CLASSES), slice(i, i + n)) for i in range(0, BUCKETS, n)]
-    return of_classes + [(slice(size + i, size + i + BLOCK), slice(BUCKETS + i, BUCKETS + i + BLOCK)) for i in range(0, words, BLOCK)]
+    of_classes = [(slice(i, i + n), *[slice(i * CLASSES, (i + n) * CLASSES)] * 2) for i in range(0, BUCKETS, n)]
+    of_words = [(slice(BUCKETS + i, BUCKETS + i + BLOCK), slice(size + i, size + i + BLOCK), slice(size + 2 * i, size + 2 * (i + BLOCK))) for i in range(0, words, BLOCK)]
+    return of_classes + of_words
 
 
-def _training(docs: DataFrame, part: int | None = None) -> DataFrame:
-    fold = fold_of("id", HELD_OUT_FOLDS)
-    kept = docs.where(fold != HELD_OUT_FOLD)
-    if part is not None:  # each round learns from its share of the documents
-        kept = kept.where(F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == part)
-    return kept.select("text")
+def _training(docs: DataFrame) -> DataFrame:
+    return docs.where(fold_of("id", HELD_OUT_FOLDS) != HELD_OUT_FOLD).select("text")
 
 
 def corpus_counts(training: DataFrame) -> DataFrame:
@@ -247,25 +241,18 @@ def corpus_counts(training: DataFrame) -> DataFrame:
     count of a form with a neighbour (cell = form * 2 * NEIGHBOURS + neighbour's form, before or after)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary()
-        counts = np.zeros(0, np.int64)
         cells = np.zeros(FORMS * 2 * NEIGHBOURS, np.int64)
 
-        def rows(words: list, keys: list, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def rows(words: pa.Array, keys: pa.Array, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for i in range(0, len(n), 50_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(words[i : i + 50_000], pa.string()), pa.array(keys[i : i + 50_000], pa.int64()), pa.array(n[i : i + 50_000], pa.int64())],
-                    ["word", "cell", "n"],
-                )
+                part = words[i : i + 50_000].cast(pa.string()), keys[i : i + 50_000], pa.array(n[i : i + 50_000], pa.int64())
+                yield pa.RecordBatch.from_arrays([*part], ["word", "cell", "n"])
 
         for batch in slices(batches, "text"):
-            if len(known.index) > KEPT_WORDS:
-                yield from rows(known.words, [None] * len(counts), counts)
-                known._clear()
-                counts = np.zeros(0, np.int64)
-            at, starts = known.numbers(texts_of(batch, "text"))
-            counts = np.concatenate([counts, np.zeros(len(known.words) - len(counts), np.int64)])
-            counts += np.bincount(at, minlength=len(counts))
+            known = Tokens(batch.column("text"))
+            at, starts = known.at, known.starts
+            counts = np.bincount(at, minlength=len(known.words))
+            yield from rows(known.words, pa.nulls(len(counts), pa.int64()), counts)
             forms = known.forms[at]
             inside = np.ones(len(at), bool)
             inside[starts] = False
@@ -273,9 +260,8 @@ def corpus_counts(training: DataFrame) -> DataFrame:
             here, previous = forms[inside], forms[inside - 1]
             cells += np.bincount(here * (2 * NEIGHBOURS) + previous % NEIGHBOURS, minlength=len(cells))
             cells += np.bincount(previous * (2 * NEIGHBOURS) + NEIGHBOURS + here % NEIGHBOURS, minlength=len(cells))
-        yield from rows(known.words, [None] * len(counts), counts)
         found = np.flatnonzero(cells)
-        yield from rows([None] * len(found), found.tolist(), cells[found])
+        yield from rows(pa.nulls(len(found), pa.string()), pa.array(found, pa.int64()), cells[found])
 
     return training.mapInArrow(run, "word string, cell bigint, n bigint").groupBy("word", "cell").agg(F.sum("n").alias("n"))
 
@@ -309,7 +295,9 @@ class Model:
         self.head, self.classes, self.tokens, self.distinct = head, classes, tokens, distinct
         self.bits = bucket_bits(distinct)
         self.totals = np.ones(0)
+        self.place = np.arange(0)
         self.weights = np.zeros(BUCKETS * CLASSES + (1 << WORD_BITS), np.float32)
+        #: what each class feature and word weight was learned from: tokens, and curvature
         self.squares = np.zeros(BUCKETS + (1 << WORD_BITS), np.float32)
 
     def without(self, *names: str) -> Model:
@@ -319,10 +307,24 @@ class Model:
             setattr(out, name, None)
         return out
 
+    def set_ranked(self, totals: np.ndarray) -> None:
+        """As ``set_totals``, with the buckets of each class put in the order of their totals, largest
+        first, so that words of like frequency share bits; ``place`` tells where a bucket went."""
+        order = np.argsort(-totals.reshape(CLASSES, -1), axis=1, kind="stable")
+        order += np.arange(CLASSES)[:, None] * order.shape[1]
+        place = np.empty(len(totals), np.int32)
+        place[order.ravel()] = np.arange(len(totals), dtype=np.int32)
+        self.set_totals(totals[order.ravel()])
+        self.place = place
+
+    def buckets(self, known: Tokens) -> np.ndarray:
+        """The bucket of each distinct word."""
+        return self.place[prefixes(self.classes[known.forms], word_digits(known.hashes, self.bits))[-1]]
+
     def set_totals(self, totals: np.ndarray) -> None:
         """Sums of (count + 1) of the word buckets, from which all softmaxes start. A node is a
         class and the bits before a bit: those of no bits first, then those of one, and so on."""
-        self.totals, sums = totals, totals
+        self.totals, sums, self.place = totals, totals, np.arange(len(totals), dtype=np.int32)
         odds, learned, logs = [], [], []
         with np.errstate(divide="ignore", invalid="ignore"):
             while len(sums) > CLASSES:
@@ -334,18 +336,42 @@ class Model:
         self.depth = len(odds)
         self.odds = np.concatenate([np.empty(0, np.float32), *odds[::-1]])
         self.learned = np.concatenate([np.empty(0, bool), *learned[::-1]])
+        for level in range(self.depth):  # what is left of a bucket's share beside that of the learned bits
+            node = (np.arange(len(totals)) >> (self.depth - level)) + CLASSES * ((1 << level) - 1)
+            sign = 1 - 2 * ((np.arange(len(totals)) >> (self.depth - 1 - level)) & 1)
+            self.shares += np.where(self.learned[node], np.log1p(np.exp(sign * self.odds[node].astype(np.float64))), 0)
+        # a node's number and CLASSES more has those of its children as twice that, and one more
+        heap = np.arange(CLASSES, CLASSES << self.depth)
+        depth = np.repeat(np.arange(self.depth), CLASSES << np.arange(self.depth)) % LEVELS
+        self.roots = (mixed((heap >> depth).astype(np.uint64) * np.uint64(16) + _START) >> np.uint64(32)).astype(np.uint32)
+        self.inside = ((1 << depth) | (heap & ((1 << depth) - 1))).astype(np.uint8)
         parts_of(self.weights)[0][BUCKETS - 1] = np.log(sums / sums.sum())
 
     def steps(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The bits of word buckets that have weights: whose they are, their nodes and their values."""
-        levels = np.arange(self.depth)
+        levels = np.arange(self.depth, dtype=np.int32)
         nodes = (buckets[:, None] >> (self.depth - levels)) + CLASSES * ((1 << levels) - 1)
-        at, level = np.nonzero(self.learned[nodes])
+        at, level = np.nonzero(self.learned.take(nodes))
         return at, nodes[at, level], (buckets[at] >> (self.depth - 1 - level)) & 1
 
+    def places(self, kinds: np.ndarray, at: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """The weights of the features of tokens ``at`` at ``nodes``, a row for each kind of feature;
+        those of a feature at the nodes of LEVELS levels below one lie together."""
+        found = kinds.take(at, axis=1)
+        found ^= self.roots.take(nodes)
+        found *= _SPREAD
+        found >>= np.uint32(32 - WORD_BITS + LEVELS)
+        found <<= np.uint32(LEVELS)
+        found |= self.inside.take(nodes)
+        return found
+
     def log_probabilities(self, hashes: np.ndarray, starts: np.ndarray, of: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
         """Natural logarithms of the probabilities of each token's class and word bucket."""
-        found, buckets = contexts(hashes, starts), prefixes(of, digits)[-1]
+        return self.bucket_log_probabilities(hashes, starts, of, prefixes(of, digits)[-1])
+
+    def bucket_log_probabilities(self, hashes: np.ndarray, starts: np.ndarray, of: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+        found = contexts(hashes, starts)
+        kinds = word_contexts(found)
         classes, words = parts_of(self.weights)
         out = self.shares[buckets]
         for i in range(0, len(of), BATCH):
@@ -355,14 +381,9 @@ class Model:
             at, nodes, bits = self.steps(buckets[part])
             if not len(at):
                 continue
-            # the share of a bit, which is in the bucket's share, gives way to its softmax
-            share = self.odds[nodes]
-            logits = share.copy()
-            for row in word_features(np.ascontiguousarray(found[part].T), at, nodes):
-                logits += words[row]
+            logits = self.odds[nodes] + words.take(self.places(kinds[:, part], at, nodes)).sum(axis=0)
             sign = (1 - 2 * bits).astype(np.float32)
-            gain = np.log((1 + np.exp(sign * share)) / (1 + np.exp(np.clip(sign * logits, -80, 80))))
-            out[part] += np.bincount(at, gain, len(buckets[part]))
+            out[part] -= np.bincount(at, np.log1p(np.exp(np.clip(sign * logits, -80, 80))), len(buckets[part]))
         return out
 
 
@@ -370,8 +391,8 @@ def _bucket_totals(counts: DataFrame, classes: np.ndarray, bits: int) -> np.ndar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                words = batch.column(0).to_pylist()
-                of = prefixes(classes[_forms(words)], word_digits(word_hashes(words), bits))[-1]
+                words = batch.column(0).cast(pa.large_string())
+                of = prefixes(classes[_forms(words)], word_digits(array_hashes(words), bits))[-1]
                 buckets, place = np.unique(of, return_inverse=True)
                 sums = np.bincount(place, weights=batch.column(1).to_numpy() + 1.0)
                 yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(sums)], ["bucket", "z"])
@@ -387,45 +408,34 @@ def _bucket_totals(counts: DataFrame, classes: np.ndarray, bits: int) -> np.ndar
 
 
 def _round(model: Model, training: DataFrame) -> None:
-    """One round of updates over ``training``: from the model's weights to their average.
+    """The step over ``training``, from the model's weights.
 
-    There are as many tasks as cores: a task's weights are as many rows however much it has
+    There are as many tasks as cores: a task's sums are as many rows however much it has
     read, so what is shuffled depends on the cores and not on the corpus."""
     training = training.coalesce(training.sparkSession.sparkContext.defaultParallelism)
-    classes, bits = model.classes, model.bits
-    sent = model.without("head", "totals", "shares")
+    classes = model.classes
+    sent = model.without("head", "totals", "shares", "squares")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trainer = Vocabulary(), Trainer(sent)
+        trainer = Trainer(sent)
         for batch in slices(batches, "text"):
-            at, starts = known.numbers(texts_of(batch, "text"))
-            hashes, of = known.hashes[at], classes[known.forms[at]]
-            trainer.learn(contexts(hashes, starts), of, prefixes(of, word_digits(hashes, bits))[-1])
+            known = Tokens(batch.column("text"))
+            found = contexts(known.hashes[known.at], known.starts)
+            trainer.learn(found, classes[known.forms][known.at], sent.buckets(known)[known.at])
         for block, values in trainer.changes():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([values], pa.binary())], ["block", "values"])
 
-    places = blocks()
-
     def added(changes: pa.Table) -> pa.Table:
-        """Weights times the growth of their squares, and that growth, of all tasks."""
-        part, rows = places[changes["block"][0].as_py()]
-        n, whole = part.stop - part.start, 0
-        for values in changes["values"].to_pylist():
-            t = (np.frombuffer(values, np.uint16, offset=2 * n).astype(np.uint32) << 16).view(np.float32)
-            w = np.frombuffer(values, np.float16, n).astype(np.float32).reshape(len(t), -1) * t[:, None]
-            whole = whole + np.concatenate([w.ravel(), t])
-        return pa.table({"block": changes["block"][:1], "values": pa.array([whole.tobytes()], pa.binary()), "n": [len(changes)]})
+        whole = sum(np.frombuffer(values, np.float32).astype(np.float64) for values in changes["values"].to_pylist())
+        return pa.table({"block": changes["block"][:1], "values": pa.array([whole.tobytes()], pa.binary())})
 
     sums = training.mapInArrow(run, "block int, values binary").groupBy("block")
-    sums = sums.applyInArrow(added, "block int, values binary, n bigint").toArrow()
-    for block, values, n in zip(*(column.to_pylist() for column in sums.columns), strict=True):
-        part, rows = places[block]
-        values = np.frombuffer(values, np.float32)
-        size = part.stop - part.start
-        t, old = values[size:], model.weights[part].reshape(rows.stop - rows.start, -1)
-        mean = values[:size].reshape(old.shape) / np.where(t > 0, t, 1)[:, None]
-        model.weights[part] = np.where(t[:, None] > 0, mean, old).ravel()
-        model.squares[rows] += t / n
+    sums = sums.applyInArrow(added, "block int, values binary").toArrow()
+    places, start = blocks(), copy(model)
+    start.weights = model.weights.copy()
+    for block, values in zip(*(column.to_pylist() for column in sums.columns), strict=True):
+        met, part, _ = places[block]
+        model.weights[part], model.squares[met] = stepped(start, part, np.frombuffer(values, np.float64))
 
 
 def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
@@ -439,9 +449,8 @@ def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
     found = corpus.where("word IS NULL").select("cell", "n").toArrow()
     cells[found["cell"].to_numpy()] = found["n"].to_numpy()
     model = Model(head, form_classes(cells.reshape(FORMS, -1)), int(size[0]), int(size[1]))
-    model.set_totals(_bucket_totals(counts, model.classes, model.bits))
-    for part in range(ROUNDS):
-        _round(model, _training(docs, part))
+    model.set_ranked(_bucket_totals(counts, model.classes, model.bits))
+    _round(model, _training(docs))
     return model, counts
 
 
@@ -456,20 +465,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     head, classes, sent = model.head, model.classes, model.without("head", "squares")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Vocabulary(head)
+        log_totals = np.log10(sent.totals)
+        head_words, head_counts = pa.array([*head, None], pa.large_string())[:-1], np.array([*head.values(), -1.0])
         for batch in slices(batches, "text"):
-            at, starts = known.numbers(texts_of(batch, "text"))
-            of = classes[known.forms[at]]
-            digits = word_digits(known.hashes[at], sent.bits)
-            logs = sent.log_probabilities(known.hashes[at], starts, of, digits) / np.log(10)
-            contextual = np.add.reduceat(logs - np.log10(sent.totals[prefixes(of, digits)[-1]]), starts) if len(starts) else np.empty(0)
-            n = known.counts[at]
+            known = Tokens(batch.column("text"))
+            at, starts = known.at, known.starts
+            buckets = sent.buckets(known)[at]
+            logs = sent.bucket_log_probabilities(known.hashes[at], starts, classes[known.forms][at], buckets) / np.log(10)
+            contextual = np.add.reduceat(logs - log_totals[buckets], starts) if len(starts) else np.empty(0)
+            n = head_counts[pc.fill_null(pc.index_in(known.words, value_set=head_words), -1).to_numpy()][at]
             common = n >= 0
             logs = np.add.reduceat(np.where(common, np.log10(np.maximum(n, 0) + 1), 0), starts) if len(starts) else np.empty(0)
             ends = np.concatenate((starts[1:], [len(at)]))
             rare = np.flatnonzero(~common)
             offsets = np.searchsorted(rare, np.concatenate((starts, [len(at)])))
-            words = pa.array([known.words[i] for i in at[rare]], pa.string())
+            words = known.words.take(pa.array(at[rare])).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
